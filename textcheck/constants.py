@@ -75,6 +75,7 @@ SUGGESTIONS = {
 # --- fixed values: classifier and sampling defaults ------------------------
 MAX_FEATURES = 30_000
 MAX_ITERATIONS = 300
+TOLERANCE = 1e-4
 TRAIN_FRACTION = 0.8
 SEED = 42
 SIMILARITY_THRESHOLD = 0.9

@@ -6,7 +6,7 @@ a window only inside a bucket. Counts per bucket form a small table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,68 +16,70 @@ from pyspark.sql.window import Window
 from textcheck.functions.seeded import HASH_BITS, seeded_hash
 
 QUOTA_BITS = 16
+MAX_GROUPS = 100_000
 # Value buckets are found in two steps of STEP comparisons each.
 STEP = 16
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality on several columns."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def flag_by_quota(df: DataFrame, group: str, id_col: str, seed: int, flag: str,
+                  quota: Callable[[dict], dict]) -> DataFrame:
+    """Mark an exact number of rows of every group, chosen by seeded hash.
 
-
-def flag_by_quota(df: DataFrame, quota: DataFrame, group: str, id_col: str,
-                  seed: int, flag: str) -> DataFrame:
-    """Mark exactly ``quota.take`` rows of every group, chosen by seeded hash.
-
-    ``quota`` holds (group, take), one row per group; ids are unique. The hash
-    range is cut into 2**16 buckets: buckets before the boundary are taken
-    whole, buckets after it not at all, and only the rows of the boundary
-    bucket (about 1/65536 of a group) are ranked. Rows meet their bucket's
-    decision on (group, bucket), so one huge group spreads over all tasks.
+    ``quota`` turns {group: rows} into {group: rows to mark}; ids are unique. The
+    hash range is cut into 2**16 buckets. Bucket counts tell in which bucket a
+    group's quota ends, and only the rows of that bucket (about 1/65536 of the
+    group) are ranked. What comes out is one cut (hash, id) per group, so that
+    marking the rows is a comparison and moves no data. Groups are classes and
+    pass through the driver; MAX_GROUPS bounds them.
     """
-    hashed = df.withColumn("_hash", seeded_hash(seed, F.col(id_col))).withColumn(
-        "_bucket", F.shiftright("_hash", HASH_BITS - QUOTA_BITS))
-    slim = hashed.select(F.col(group).alias("_group"), F.col(id_col).alias("_id"),
-                         "_hash", "_bucket")
-    limits = quota.select(F.col(group).alias("_group"), "take")
-    counts = slim.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    decisions = (
-        counts.join(limits, same(counts, limits, "_group"))
-        .select(counts["_group"], "_bucket", "_n",
-                F.least(F.greatest(F.col("take") - F.col("_before"), F.lit(0)),
-                        F.col("_n")).alias("_left"))
-        .filter(F.col("_left") > 0)
-    )
-    boundary = decisions.filter(F.col("_left") < F.col("_n")).alias("b")
-    order = Window.partitionBy("s._group", "s._bucket").orderBy("s._hash", "s._id")
-    cut = (
-        slim.alias("s")
-        .join(boundary, F.expr("s._group <=> b._group AND s._bucket = b._bucket"))
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") == F.col("_left"))
-        .select(F.col("s._group").alias("_group"), F.col("s._bucket").alias("_bucket"),
-                F.col("s._hash").alias("_cut_hash"), F.col("s._id").alias("_cut_id"))
-    )
-    rules = decisions.alias("d").join(
-        cut.alias("c"), F.expr("d._group <=> c._group AND d._bucket = c._bucket"), "left"
-    ).select("d._group", "d._bucket",
-             (F.col("d._left") == F.col("d._n")).alias("_whole"), "_cut_hash", "_cut_id")
-    chosen = F.col("_whole") | (F.col("_hash") < F.col("_cut_hash")) | (
-        (F.col("_hash") == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
-    return (
-        hashed.alias("h")
-        .join(rules.alias("r"),
-              F.col(f"h.{group}").eqNullSafe(F.col("r._group"))
-              & (F.col("h._bucket") == F.col("r._bucket")), "left")
-        .select(*[F.col(f"h.{name}") for name in df.columns],
-                F.coalesce(chosen, F.lit(False)).alias(flag))
+    hashed = seeded_hash(seed, F.col(id_col))
+    slim = df.select(F.col(group).alias("_group"), F.col(id_col).alias("_id"),
+                     hashed.alias("_hash")).persist()
+    try:
+        found = slim.groupBy("_group").agg(F.count("*").alias("n")).limit(MAX_GROUPS + 1).collect()
+        if len(found) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} distinct values in {group!r}")
+        sizes = {row["_group"]: row["n"] for row in found}
+        takes = {key: take for key, take in quota(sizes).items() if take > 0}
+        part = {key: take for key, take in takes.items() if take < sizes[key]}
+        cuts = _cuts(slim, part) if part else {}
+    finally:
+        slim.unpersist()
+    rules = df.sparkSession.createDataFrame(
+        [(key, *cuts.get(key, (None, None)), key not in part) for key in takes],
+        T.StructType([
+            T.StructField("_group", df.schema[group].dataType),
+            T.StructField("_cut_hash", T.LongType()),
+            T.StructField("_cut_id", df.schema[id_col].dataType),
+            T.StructField("_whole", T.BooleanType())]))
+    chosen = F.col("_whole") | (hashed < F.col("_cut_hash")) | (
+        (hashed == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
+    return df.join(F.broadcast(rules), F.col(group).eqNullSafe(F.col("_group")), "left").select(
+        *df.columns, F.coalesce(chosen, F.lit(False)).alias(flag))
+
+
+def _cuts(slim: DataFrame, takes: dict) -> dict:
+    """{group: (hash, id)} of the last row within each quota."""
+    limits = slim.sparkSession.createDataFrame(list(takes.items()), T.StructType([
+        T.StructField("_key", slim.schema["_group"].dataType),
+        T.StructField("_take", T.LongType())]))
+    bucketed = slim.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - QUOTA_BITS))
+    upto = Window.partitionBy("_group").orderBy("_bucket")
+    edges = (
+        bucketed.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(upto))
+        .join(F.broadcast(limits), F.col("_group").eqNullSafe(F.col("_key")))
+        .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
+        .select("_key", F.col("_bucket").alias("_edge"),
+                (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
+    order = Window.partitionBy("_group").orderBy("_hash", "_id")
+    # One edge per group.
+    last = bucketed.join(F.broadcast(edges), F.col("_group").eqNullSafe(F.col("_key"))
+                         & (F.col("_bucket") == F.col("_edge"))).withColumn(
+        "_rank", F.row_number().over(order)).filter(F.col("_rank") == F.col("_left"))
+    return {row["_group"]: (row["_hash"], row["_id"])
+            for row in last.select("_group", "_hash", "_id").collect()}
 
 
 def _bounds(values: DataFrame) -> DataFrame:

@@ -2,53 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer,
                                 RegexTokenizer, SQLTransformer)
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textcheck.constants import MAX_FEATURES, MAX_ITERATIONS
+from textcheck.constants import MAX_FEATURES, MAX_ITERATIONS, TOLERANCE
 from textcheck.functions.checks import require_columns
 from textcheck.functions.text import TOKEN
+from textcheck.operators.features import fit_vocabulary, term_counts
 from textcheck.operators.scoring import MODEL_TEXT, ModelScorer, Scorer
 
 
-def count_stages(max_features: int = MAX_FEATURES) -> Pipeline:
-    """Words and word pairs counted over the most frequent terms."""
-    return Pipeline(stages=[
+def train_classifier(train: DataFrame, text_col: str, label_col: str, id_col: str,
+                     max_features: int = MAX_FEATURES,
+                     max_iter: int = MAX_ITERATIONS) -> PipelineModel:
+    """L2 logistic regression with C = 1, that is lambda = 1/n on the mean loss.
+
+    The vocabulary comes from one DataFrame aggregate (at most ``max_features``
+    rows reach the driver), with ties settled by term, so it does not depend on
+    how the rows are spread.
+    """
+    require_columns(train, text_col, label_col, id_col)
+    data = train.select(F.col(id_col).alias("_id"),
+                        F.coalesce(F.col(text_col), F.lit("")).alias(MODEL_TEXT),
+                        F.col(label_col).cast("double").alias("_label"))
+    n_rows = data.count()
+    vocabulary = fit_vocabulary(term_counts(data, MODEL_TEXT, "_id"), F.lit(n_rows),
+                                max_features).orderBy(F.desc("doc_freq"), "term").collect()
+    stages = [
         RegexTokenizer(inputCol=MODEL_TEXT, outputCol="_words", pattern=TOKEN, gaps=False,
                        toLowercase=True),
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
-        CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=max_features),
-    ])
-
-
-def train_classifier(train: DataFrame, text_col: str, label_col: str,
-                     max_features: int = MAX_FEATURES,
-                     max_iter: int = MAX_ITERATIONS) -> PipelineModel:
-    """L2 logistic regression with C = 1, that is lambda = 1/n on the mean loss."""
-    require_columns(train, text_col, label_col)
-    data = train.select(F.coalesce(F.col(text_col), F.lit("")).alias(MODEL_TEXT),
-                        F.col(label_col).cast("double").alias("_label"))
-    counter = count_stages(max_features).fit(data)
-    counted = counter.transform(data).select("_counts", "_label").persist()
+        CountVectorizerModel.from_vocabulary([row["term"] for row in vocabulary],
+                                             inputCol="_terms", outputCol="_counts"),
+        ElementwiseProduct(inputCol="_counts", outputCol="_weighted",
+                           scalingVec=Vectors.dense([row["idf"] for row in vocabulary])),
+        Normalizer(inputCol="_weighted", outputCol="_features", p=2.0),
+    ]
+    vectors = PipelineModel(stages=stages).transform(data).select("_features", "_label").persist()
     try:
-        idf = IDF(inputCol="_counts", outputCol="_weighted").fit(counted)
-        # ln((1+n)/(1+df)) + 1: the ML stage lacks the added one.
-        scale = ElementwiseProduct(inputCol="_counts", outputCol="_weighted",
-                                   scalingVec=Vectors.dense(idf.idf.toArray() + 1.0))
-        unit = Normalizer(inputCol="_weighted", outputCol="_features", p=2.0)
         regression = LogisticRegression(
-            featuresCol="_features", labelCol="_label", maxIter=max_iter,
-            regParam=1.0 / max(1, idf.numDocs), elasticNetParam=0.0, standardization=False)
-        fitted = regression.fit(unit.transform(scale.transform(counted)))
+            featuresCol="_features", labelCol="_label", maxIter=max_iter, tol=TOLERANCE,
+            regParam=1.0 / max(1, n_rows), elasticNetParam=0.0, standardization=False).fit(vectors)
     finally:
-        counted.unpersist()
-    return PipelineModel(stages=[*counter.stages, scale, unit, fitted])
+        vectors.unpersist()
+    return PipelineModel(stages=[*stages, regression])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -87,7 +90,7 @@ def predictions_table(df: DataFrame, text_col: str, label_col: str, id_col: str,
 
 def train_and_predict(train: DataFrame, test: DataFrame, text_col: str, label_col: str,
                       id_col: str) -> tuple[ModelScorer, DataFrame]:
-    scorer = ModelScorer("classifier", train_classifier(train, text_col, label_col))
+    scorer = ModelScorer("classifier", train_classifier(train, text_col, label_col, id_col))
     return scorer, predictions_table(test, text_col, label_col, id_col, scorer)
 
 
@@ -103,12 +106,14 @@ def class_scores(predictions: DataFrame) -> DataFrame:
     rows per task); everything after that works on this small table.
     """
     confusion = predictions.groupBy("y_true", "y_pred").agg(F.count("*").alias("n"))
-    hit = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)
+    hit = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(
+        F.lit(0).cast("bigint"))
     roles = F.array(
         F.struct(F.col("y_true").cast("string").alias("label"), F.col("n").alias("support"),
                  F.lit(0).cast("bigint").alias("predicted"), hit.alias("hits")),
-        F.struct(F.col("y_pred").cast("string"), F.lit(0).cast("bigint"), F.col("n"),
-                 F.lit(0).cast("bigint")))
+        F.struct(F.col("y_pred").cast("string").alias("label"),
+                 F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted"),
+                 F.lit(0).cast("bigint").alias("hits")))
     sums = confusion.select(F.inline(roles)).groupBy("label").agg(
         *[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))

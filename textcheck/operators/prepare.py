@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from textcheck.constants import LONG_LABELS, SEED, SHORT_LABELS, TRAIN_FRACTION
 from textcheck.functions import text as tx
@@ -78,32 +79,27 @@ def coerce_labels(df: DataFrame, label_col: str) -> DataFrame:
         label.isNull() | number.isNotNull(), number).otherwise(bad.cast("bigint")))
 
 
-def train_quota(df: DataFrame, label_col: str, train_frac: float = TRAIN_FRACTION) -> DataFrame:
-    """(label, n, take): training rows per label.
-
-    ``floor(frac * n)`` rows in all, shared in proportion to the label counts;
-    what rounding leaves over goes to the largest remainders. The window runs
-    over one row per label.
-    """
-    counts = df.groupBy(label_col).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    share = (F.col("n") / total) * F.floor(F.lit(train_frac) * total)
-    shares = counts.select(label_col, "n", F.floor(share).alias("base"),
-                           (share - F.floor(share)).alias("remainder"))
-    spare = F.floor(F.lit(train_frac) * total) - shares.agg(F.sum("base")).scalar()
-    order = Window.orderBy(F.desc("remainder"), label_col)
-    return shares.select(
-        label_col, "n",
-        (F.col("base") + F.when(F.row_number().over(order) <= spare, 1).otherwise(0))
-        .alias("take"))
+def train_sizes(sizes: dict, train_frac: float) -> dict:
+    """Training rows per label: ``floor(frac * n)`` in all, shared in proportion;
+    what rounding leaves over goes to the largest remainders, then by label."""
+    total = sum(sizes.values())
+    wanted = math.floor(train_frac * total)
+    shares = {label: n / total * wanted for label, n in sizes.items()}
+    takes = {label: math.floor(share) for label, share in shares.items()}
+    spare = wanted - sum(takes.values())
+    by_remainder = sorted(sizes, key=lambda label: (
+        takes[label] - shares[label], label is not None, label))
+    for label in by_remainder[:spare]:
+        takes[label] += 1
+    return takes
 
 
 def flag_train(df: DataFrame, label_col: str, id_col: str,
                train_frac: float = TRAIN_FRACTION, seed: int = SEED) -> DataFrame:
     """Add ``is_train``: a seeded split with exact sizes per label."""
     require_columns(df, label_col, id_col)
-    return flag_by_quota(df, train_quota(df, label_col, train_frac), label_col, id_col,
-                         seed, "is_train")
+    return flag_by_quota(df, label_col, id_col, seed, "is_train",
+                         lambda sizes: train_sizes(sizes, train_frac))
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str,

@@ -42,9 +42,3 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     else:
         writer.format(fmt).save(path)
 
-
-def load_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None where nothing was written."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if files.exists(hadoop_path) else None
