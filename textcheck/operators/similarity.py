@@ -54,30 +54,41 @@ def _text_rows(df: DataFrame, text_col: str, id_col: str, *keep: str) -> DataFra
     return listed.filter(F.size("words") > 0).withColumn("key", key)
 
 
-def _weigh_groups(groups: DataFrame, n_docs: Column) -> DataFrame:
-    """Unit TF-IDF postings (rep, term, x, reach, rest, indexed).
+def _terms(postings: DataFrame) -> DataFrame:
+    """(term, term_id, doc_freq, n_postings). The ids only have to be distinct, and
+    writing the table fixes them; joins then move numbers instead of words."""
+    counted = postings.groupBy("term").agg(F.sum("copies").alias("doc_freq"),
+                                           F.count("*").alias("n_postings"))
+    return materialise(counted.withColumn("term_id", F.monotonically_increasing_id()))
+
+
+def _weigh_groups(groups: DataFrame, n_docs: int) -> DataFrame:
+    """Unit TF-IDF postings (rep, term_id, x, reach).
 
     Terms run from common to rare. ``reach`` is the length of the vector up to
-    and with the term. The leading part shorter than the threshold need not be
-    indexed (prefix filter for cosine joins, WWW 2007); ``rest`` is its length.
+    and with the term.
     """
     postings = groups.select("rep", "copies", F.explode("words").alias("term")).groupBy(
         "rep", "copies", "term").agg(F.count("*").alias("tf"))
-    terms = postings.groupBy("term").agg(F.sum("copies").alias("doc_freq"),
-                                         F.count("*").alias("n_postings"))
-    weighted = join_by_key(postings, terms, "term", "n_postings").select(
-        "rep", "term", "doc_freq",
-        (F.col("tf") * smooth_idf(n_docs, F.col("doc_freq"))).alias("raw"))
+    weighted = join_by_key(postings, _terms(postings), "term", "n_postings").select(
+        "rep", "term_id", "doc_freq",
+        (F.col("tf") * smooth_idf(F.lit(n_docs), F.col("doc_freq"))).alias("raw"))
     whole = Window.partitionBy("rep")
-    upto = whole.orderBy(F.desc("doc_freq"), "term").rowsBetween(Window.unboundedPreceding, 0)
+    upto = whole.orderBy(F.desc("doc_freq"), "term_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     square = F.col("raw") * F.col("raw")
-    return weighted.select(
-        "rep", "term",
-        (F.col("raw") / F.sqrt(F.sum(square).over(whole))).alias("x"),
-        F.sqrt(F.sum(square).over(upto) / F.sum(square).over(whole)).alias("reach"))
+    return weighted.select("rep", "term_id", "raw", F.sum(square).over(upto).alias("part"),
+                           F.sum(square).over(whole).alias("all")).select(
+        "rep", "term_id", (F.col("raw") / F.sqrt("all")).alias("x"),
+        F.sqrt(F.col("part") / F.col("all")).alias("reach"))
 
 
 def _index(weighted: DataFrame, threshold: float) -> DataFrame:
+    """Mark the terms to index: those from which on ``reach`` is at the threshold.
+
+    The leading part before them, shorter than the threshold, need not be indexed
+    (prefix filter for cosine joins, WWW 2007); ``rest`` is its length.
+    """
     indexed = F.col("reach") >= threshold - SLACK
     rest = F.max(F.when(~indexed, F.col("reach")).otherwise(0.0)).over(Window.partitionBy("rep"))
     return weighted.withColumn("rest", rest).withColumn("indexed", indexed)
@@ -91,17 +102,17 @@ def _candidates(index: DataFrame, threshold: float) -> DataFrame:
     posting list is cut into chunks and joined chunk against chunk, which keeps
     every task to two chunks however frequent the term is.
     """
-    sizes = index.groupBy("term").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = index.groupBy("term_id").agg(F.count("*").alias("n")).filter("n > 1")
     split = (
-        join_by_key(index, sizes, "term", "n")
+        join_by_key(index, sizes, "term_id", "n")
         .withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
     )
-    left = split.select("term", "rep", "x", "reach", "rest", F.col("chunk").alias("lo"),
+    left = split.select("term_id", "rep", "x", "reach", "rest", F.col("chunk").alias("lo"),
                         F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("hi")).alias("l")
-    right = split.select("term", "rep", "x", "reach", "rest", F.col("chunk").alias("hi"),
+    right = split.select("term_id", "rep", "x", "reach", "rest", F.col("chunk").alias("hi"),
                          F.explode(F.sequence(F.lit(0), "chunk")).alias("lo")).alias("r")
-    met = left.join(right, ["term", "lo", "hi"]).filter(
+    met = left.join(right, ["term_id", "lo", "hi"]).filter(
         (F.col("lo") < F.col("hi")) | (F.col("l.rep") < F.col("r.rep")))
     pairs = met.select(
         F.least("l.rep", "r.rep").alias("idx1"), F.greatest("l.rep", "r.rep").alias("idx2"),
@@ -126,25 +137,27 @@ def similar_texts(df: DataFrame, text_col: str, id_col: str,
     """Groups of rows with equal words and all group pairs with cosine >= threshold."""
     keep = [train_flag] if train_flag else []
     rows = _text_rows(df, text_col, id_col, *keep)
-    extra = [F.first("words").alias("words")]
-    if train_flag:
-        extra.append(F.count_if(train_flag).alias("train_rows"))
-    head = F.min(F.struct("id", "text"))
-    groups = rows.groupBy("key").agg(
-        head.alias("head"), F.count("*").alias("copies"), *extra
-    ).withColumns({"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head")
-    n_docs = df.agg(F.count("*")).scalar()
-    index = materialise(_index(_weigh_groups(groups, n_docs), threshold))
+    extra = [F.count_if(train_flag).alias("train_rows")] if train_flag else []
+    grouped = rows.groupBy("key").agg(
+        F.min(F.struct("id", "text")).alias("head"), F.count("*").alias("copies"),
+        F.first("words").alias("words"), *extra,
+    ).withColumns({"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head").persist()
+    try:
+        n_docs = df.agg(F.count("*")).first()[0]
+        index = materialise(_index(_weigh_groups(grouped, n_docs), threshold))
+        groups = materialise(grouped.drop("words"))
+    finally:
+        grouped.unpersist()
     pairs = _candidates(index.filter("indexed"), threshold)
     near = (
         pairs
-        .join(index.select(F.col("rep").alias("idx1"), "term", F.col("x").alias("x1")), "idx1")
-        .join(index.select(F.col("rep").alias("idx2"), "term", F.col("x").alias("x2")),
-              ["idx2", "term"])
+        .join(index.select(F.col("rep").alias("idx1"), "term_id", F.col("x").alias("x1")), "idx1")
+        .join(index.select(F.col("rep").alias("idx2"), "term_id", F.col("x").alias("x2")),
+              ["idx2", "term_id"])
         .groupBy("idx1", "idx2").agg(F.sum(F.col("x1") * F.col("x2")).alias("similarity"))
         .filter(F.col("similarity") >= threshold)
     )
-    return SimilarGroups(rows.drop("words"), groups.drop("words"), near)
+    return SimilarGroups(rows.drop("words"), groups, near)
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:

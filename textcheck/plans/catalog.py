@@ -13,7 +13,7 @@ from textcheck.operators import (classify, drift, explain, fairness, features, h
                                  repair, report, robustness, scoring, similarity)
 from textcheck.plans import audit
 from textcheck.plans import datasets as ds
-from textcheck.sources.tables import dataset_shape
+from textcheck.sources.tables import dataset_shape, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -42,12 +42,13 @@ def load_dataset(spark, d):
 
 @query
 def clean_text(spark, d):
-    return prepare.clean_text(ds.documents(spark, d, "doc_id", "text"), "text")
+    return prepare.clean_text(ds.texts(spark, d), "text")
 
 
 @query
 def clean_html(spark, d):
-    return prepare.clean_text(ds.table(spark, d, "pages").select("page_id", "html"), "html")
+    return prepare.clean_text(
+        spread(ds.table(spark, d, "pages").select("page_id", "html"), "page_id"), "html")
 
 
 @query
@@ -128,7 +129,7 @@ def head_rows(spark, d):
 
 @query
 def sample_rows(spark, d):
-    return prepare.sample_rows(ds.documents(spark, d, "doc_id", "text"), 800, "doc_id")
+    return prepare.sample_rows(ds.texts(spark, d), 800, "doc_id")
 
 
 @query
@@ -178,19 +179,19 @@ def class_balance(spark, d):
 @query
 def score_toxicity(spark, d):
     return scoring.score_toxicity(
-        ds.documents(spark, d, "doc_id", "text"), "text", ds.TOXIC).drop("text")
+        ds.texts(spark, d), "text", ds.TOXIC).drop("text")
 
 
 @query
 def score_identity(spark, d):
     return scoring.score_identity(
-        ds.documents(spark, d, "doc_id", "text"), "text", ds.IDENTITY).drop("text")
+        ds.texts(spark, d), "text", ds.IDENTITY).drop("text")
 
 
 @query
 def top_label(spark, d):
     return scoring.top_label(
-        ds.documents(spark, d, "doc_id", "text"), "text", ds.TOXIC).drop("text")
+        ds.texts(spark, d), "text", ds.TOXIC).drop("text")
 
 
 def _bias(docs: DataFrame) -> DataFrame:
@@ -201,7 +202,7 @@ def _bias(docs: DataFrame) -> DataFrame:
 
 @query
 def bias_summary(spark, d):
-    return _bias(ds.documents(spark, d, "doc_id", "text"))
+    return _bias(ds.texts(spark, d))
 
 
 @query
@@ -212,7 +213,7 @@ def trained_bias_scores(spark, d):
                                 ("non-toxic", "toxic"))
     other = scoring.ModelScorer("trained/quality",
                                 classify.train_classifier(data, "text", "quality", "doc_id"))
-    docs = ds.documents(spark, d, "doc_id", "text")
+    docs = ds.texts(spark, d)
     return scoring.score_identity(scoring.score_toxicity(docs, "text", toxic), "text",
                                   [toxic, other]).drop("text")
 
@@ -221,7 +222,7 @@ def trained_bias_scores(spark, d):
 
 @query
 def tfidf_pairs(spark, d):
-    return similarity.tfidf_pairs(ds.documents(spark, d, "doc_id", "text"), "text", "doc_id")
+    return similarity.tfidf_pairs(ds.texts(spark, d), "text", "doc_id")
 
 
 @query
@@ -232,7 +233,7 @@ def embedding_pairs(spark, d):
 
 
 def _similar(spark, d):
-    return similarity.similar_texts(ds.documents(spark, d, "doc_id", "text"), "text", "doc_id")
+    return similarity.similar_texts(ds.texts(spark, d), "text", "doc_id")
 
 
 @query
@@ -246,7 +247,7 @@ def pair_preview(spark, d):
 
 
 def _halves(spark, d) -> DataFrame:
-    docs = ds.documents(spark, d, "doc_id", "text", "lang")
+    docs = ds.texts(spark, d, "lang")
     return prepare.flag_train(docs, "lang", "doc_id")
 
 
@@ -270,12 +271,12 @@ def _predictions(spark, d) -> DataFrame:
 
 @query
 def tfidf_features(spark, d):
-    return features.tfidf_features(ds.documents(spark, d, "doc_id", "text"), "text", "doc_id")
+    return features.tfidf_features(ds.texts(spark, d), "text", "doc_id")
 
 
 @query
 def predict(spark, d):
-    return classify.predict(ds.documents(spark, d, "doc_id", "text"), "text", ds.QUALITY).drop(
+    return classify.predict(ds.texts(spark, d), "text", ds.QUALITY).drop(
         "text")
 
 
@@ -321,7 +322,7 @@ def trained_report(spark, d):
 
 @query
 def tag_protected(spark, d):
-    return fairness.tag_protected(ds.documents(spark, d, "doc_id", "text"), "text").drop("text")
+    return fairness.tag_protected(ds.texts(spark, d), "text").drop("text")
 
 
 def _slices(spark, d) -> DataFrame:
@@ -354,7 +355,7 @@ def attribute_fairness_constant(spark, d):
 
 def _perturb(mode: str) -> Query:
     def build(spark, d):
-        docs = ds.documents(spark, d, "doc_id", "text")
+        docs = ds.texts(spark, d)
         return robustness.perturb(docs, "text", "doc_id", mode).drop("text")
     build.__name__ = f"perturb_{mode}"
     return build
@@ -396,7 +397,7 @@ def trained_robustness_summary(spark, d):
 
 @query
 def linear_importance(spark, d):
-    docs = ds.documents(spark, d, "doc_id", "text")
+    docs = ds.texts(spark, d)
     coefficients = spark.createDataFrame(list(ds.COEFFICIENTS.items()),
                                          "term string, coefficient double")
     return explain.linear_importance(features.tfidf_features(docs, "text", "doc_id"), coefficients,
@@ -405,7 +406,7 @@ def linear_importance(spark, d):
 
 @query
 def token_occlusion(spark, d):
-    return explain.lexicon_occlusion(ds.documents(spark, d, "doc_id", "text"), "text", "doc_id",
+    return explain.lexicon_occlusion(ds.texts(spark, d), "text", "doc_id",
                                      ds.QUALITY)
 
 
@@ -505,7 +506,7 @@ def repair_plan(spark, d):
 
 @query
 def apply_dedupe(spark, d):
-    docs = ds.documents(spark, d, "doc_id", "text")
+    docs = ds.texts(spark, d)
     pairs = similarity.tfidf_pairs(docs, "text", "doc_id")
     return repair.apply_dedupe(docs, pairs, "doc_id")
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textcheck.constants import SEED
 from textcheck.operators.prepare import flag_train
 from textcheck.operators.scoring import LexiconScorer
-from textcheck.sources.tables import load_dataset
+from textcheck.sources.tables import load_dataset, spread
 
 # Stop words of four languages: their share tells prose from junk.
 QUALITY = LexiconScorer(
@@ -43,9 +43,14 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return docs.select(*columns) if columns else docs
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """Documents for per-text work."""
+    return spread(documents(spark, sf_dir, "doc_id", "text", *columns), "doc_id")
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled texts with a 0/1 attribute."""
-    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    docs = texts(spark, sf_dir, "lang")
     return docs.join(table(spark, sf_dir, "labels"), "doc_id").withColumn(
         "is_en", (F.col("lang") == "en").cast("int"))
 

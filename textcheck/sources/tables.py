@@ -25,6 +25,18 @@ def load_dataset(spark: SparkSession, path: str, fmt: str | None = None,
     return reader.format(fmt).load(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core work where a table has fewer splits than the cluster cores.
+
+    Text expressions are CPU work, and a small table may be one split. A table of
+    many splits is left alone, so large inputs are never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def dataset_shape(df: DataFrame) -> DataFrame:
     """One row: number of rows and of columns."""
     return df.agg(F.count("*").alias("n_rows")).withColumn(
