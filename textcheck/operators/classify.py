@@ -17,6 +17,9 @@ from textcheck.operators.features import fit_vocabulary, term_counts
 from textcheck.operators.scoring import MODEL_TEXT, ModelScorer, Scorer
 
 
+ROWS_PER_PARTITION = 20_000
+
+
 def train_classifier(train: DataFrame, text_col: str, label_col: str, id_col: str,
                      max_features: int = MAX_FEATURES,
                      max_iter: int = MAX_ITERATIONS) -> PipelineModel:
@@ -44,7 +47,12 @@ def train_classifier(train: DataFrame, text_col: str, label_col: str, id_col: st
                            scalingVec=Vectors.dense([row["idf"] for row in vocabulary])),
         Normalizer(inputCol="_weighted", outputCol="_features", p=2.0),
     ]
-    vectors = PipelineModel(stages=stages).transform(data).select("_features", "_label").persist()
+    vectors = PipelineModel(stages=stages).transform(data).select("_features", "_label")
+    # Every optimiser step is one job over all partitions: few rows, few partitions.
+    parts = max(1, n_rows // ROWS_PER_PARTITION)
+    if parts < vectors.rdd.getNumPartitions():
+        vectors = vectors.repartition(parts)
+    vectors = vectors.persist()
     try:
         regression = LogisticRegression(
             featuresCol="_features", labelCol="_label", maxIter=max_iter, tol=TOLERANCE,

@@ -13,6 +13,7 @@ from textcheck.functions import text as tx
 from textcheck.functions.checks import require_columns
 from textcheck.functions.ranks import flag_by_quota
 from textcheck.functions.seeded import seeded_hash
+from textcheck.session import materialise
 
 
 def clean_text(df: DataFrame, text_col: str, out_col: str | None = None,
@@ -113,9 +114,14 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str,
 def prepare_and_split(df: DataFrame, text_col: str, label_col: str, id_col: str,
                       train_frac: float = TRAIN_FRACTION,
                       seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Clean, drop empty texts, normalise labels, split."""
+    """Clean, drop empty texts, normalise labels, split.
+
+    The cleaned table is written once; the label scan, the split and whatever
+    reads the two sides start from it instead of cleaning again.
+    """
     require_columns(df, text_col, label_col, id_col)
-    kept = drop_empty_text(clean_text(df, text_col), text_col)
+    cleaned = materialise(clean_text(df, text_col))
+    kept = drop_empty_text(cleaned, text_col)
     return stratified_split(normalize_labels(kept, label_col), label_col, id_col,
                             train_frac, seed)
 

@@ -51,7 +51,7 @@ def _text_rows(df: DataFrame, text_col: str, id_col: str, *keep: str) -> DataFra
                        F.substring(text_col, 1, PREFIX_CHARS).alias("text"),
                        F.array_sort(tx.tokens(F.col(text_col))).alias("words"), *keep)
     key = F.unhex(F.sha2(F.array_join("words", " "), 256))
-    return listed.filter(F.size("words") > 0).withColumn("key", key)
+    return listed.withColumn("key", key)
 
 
 def _terms(postings: DataFrame) -> DataFrame:
@@ -141,7 +141,8 @@ def similar_texts(df: DataFrame, text_col: str, id_col: str,
     grouped = rows.groupBy("key").agg(
         F.min(F.struct("id", "text")).alias("head"), F.count("*").alias("copies"),
         F.first("words").alias("words"), *extra,
-    ).withColumns({"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head").persist()
+    ).filter(F.size("words") > 0).withColumns(
+        {"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head").persist()
     try:
         n_docs = df.agg(F.count("*")).first()[0]
         index = materialise(_index(_weigh_groups(grouped, n_docs), threshold))
@@ -149,12 +150,15 @@ def similar_texts(df: DataFrame, text_col: str, id_col: str,
     finally:
         grouped.unpersist()
     pairs = _candidates(index.filter("indexed"), threshold)
+    vectors = index.groupBy("rep").agg(F.map_from_entries(
+        F.collect_list(F.struct("term_id", "x"))).alias("vector"))
+    shared = F.map_zip_with("vector1", "vector2", lambda _, a, b: F.coalesce(a * b, F.lit(0.0)))
     near = (
         pairs
-        .join(index.select(F.col("rep").alias("idx1"), "term_id", F.col("x").alias("x1")), "idx1")
-        .join(index.select(F.col("rep").alias("idx2"), "term_id", F.col("x").alias("x2")),
-              ["idx2", "term_id"])
-        .groupBy("idx1", "idx2").agg(F.sum(F.col("x1") * F.col("x2")).alias("similarity"))
+        .join(vectors.toDF("idx1", "vector1"), "idx1")
+        .join(vectors.toDF("idx2", "vector2"), "idx2")
+        .select("idx1", "idx2", F.aggregate(F.map_values(shared), F.lit(0.0), lambda a, b: a + b)
+                .alias("similarity"))
         .filter(F.col("similarity") >= threshold)
     )
     return SimilarGroups(rows.drop("words"), groups, near)

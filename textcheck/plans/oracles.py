@@ -163,10 +163,11 @@ ORACLES["top_label"] = f"""
 WITH {TOP % 'documents'} SELECT doc_id, label, round(score, 6) AS score FROM top_of"""
 
 
-def bias(source: str) -> str:
-    maxima = ", ".join(f"round(max({identity(s)}), 6) AS max_{score_column(s)}" for s in ds.IDENTITY)
-    return f"""SELECT count(*) AS n_scored, round(avg({TOXICITY}), 6) AS toxicity_mean, {maxima},
-      round(quantile_cont({TOXICITY}, 0.95), 6) AS toxicity_p95 FROM {source}"""
+def bias(source: str, digits: int = 6) -> str:
+    maxima = ", ".join(
+        f"round(max({identity(s)}), {digits}) AS max_{score_column(s)}" for s in ds.IDENTITY)
+    return f"""SELECT count(*) AS n_scored, round(avg({TOXICITY}), {digits}) AS toxicity_mean, {maxima},
+      round(quantile_cont({TOXICITY}, 0.95), {digits}) AS toxicity_p95 FROM {source}"""
 
 
 ORACLES["bias_summary"] = bias("documents")
@@ -533,9 +534,10 @@ SELECT row_number() OVER (ORDER BY o) AS position, rule, title, reason, action F
 # --- report --------------------------------------------------------------------------
 
 
-def cells(section: str, source: str, values: dict[str, str], key: str = "''", note: bool = False) -> str:
+def cells(section: str, source: str, values: dict[str, str], key: str = "''", note: bool = False,
+          digits: int = 6) -> str:
     kind = ("NULL::DOUBLE AS value, ({0})::VARCHAR AS note" if note
-            else "round(({0})::DOUBLE, 6) AS value, NULL::VARCHAR AS note")
+            else f"round(({{0}})::DOUBLE, {digits}) AS value, NULL::VARCHAR AS note")
     return " UNION ALL ".join(
         f"SELECT '{section}' AS section, '{metric}' AS metric, ({key})::VARCHAR AS key, "
         f"{kind.format(expr)} FROM {source}" for metric, expr in values.items())
@@ -567,12 +569,12 @@ def version(source: str, name: str) -> str:
   {predicted(source).replace('predicted AS', f'{tag}_p AS', 1)},
   {classes(f'{tag}_p').replace('classes AS', f'{tag}_c AS', 1).replace('scores AS', f'{tag}_s AS', 1).replace('FROM classes', f'FROM {tag}_c')},
   {details(source).replace('details AS', f'{tag}_d AS', 1)},
-  {tag}_r AS ({SUMMARY.replace('FROM details', f'FROM {tag}_d')}), {tag}_b AS ({bias(source)}),
+  {tag}_r AS ({SUMMARY.replace('FROM details', f'FROM {tag}_d')}), {tag}_b AS ({bias(source, 12)}),
   m_{name} AS (
-    {cells('model', f'{tag}_p', {'accuracy': 'avg((quality = y_pred)::INT)'})}
-    UNION ALL {cells('model', f'{tag}_s', {'weighted_f1': 'sum(f1_score * support) / sum(support)'})}
-    UNION ALL {cells('bias', f'{tag}_b', {m: m for m in ('toxicity_mean', 'toxicity_p95')})}
-    UNION ALL {cells('robustness', f'{tag}_r', {m: m for m in ('flip_rate', 'avg_conf_change')}, 'perturb')})"""
+    {cells('model', f'{tag}_p', {'accuracy': 'avg((quality = y_pred)::INT)'}, digits=12)}
+    UNION ALL {cells('model', f'{tag}_s', {'weighted_f1': 'sum(f1_score * support) / sum(support)'}, digits=12)}
+    UNION ALL {cells('bias', f'{tag}_b', {m: m for m in ('toxicity_mean', 'toxicity_p95')}, digits=12)}
+    UNION ALL {cells('robustness', f'{tag}_r', {m: m for m in ('flip_rate', 'avg_conf_change')}, 'perturb', digits=12)})"""
 
 
 BOTH = f"{REPAIRED}, {version('labelled', 'original')}, {version('repaired', 'repaired')}"
@@ -580,9 +582,10 @@ COMPARED = """compared AS (
   SELECT section, metric, key, o.value AS original, r.value AS repaired, r.value - o.value AS delta
   FROM m_original o FULL JOIN m_repaired r USING (section, metric, key))"""
 ORACLES["version_compare"] = f"""
-WITH {BOTH}, {COMPARED} SELECT section, metric, key, original, repaired, round(delta, 5) AS delta FROM compared"""
+WITH {BOTH}, {COMPARED} SELECT section, metric, key, round(original, 6) AS original,
+  round(repaired, 6) AS repaired, round(delta, 6) AS delta FROM compared"""
 ORACLES["takeaways"] = f"""
 WITH {BOTH}, {COMPARED}
-SELECT 'accuracy_delta' AS takeaway, '' AS name, round(delta, 5) AS value FROM compared WHERE metric = 'accuracy'
-UNION ALL (SELECT 'worst_after_repair', key, round(value, 5) FROM m_repaired WHERE metric = 'flip_rate'
+SELECT 'accuracy_delta' AS takeaway, '' AS name, round(delta, 6) AS value FROM compared WHERE metric = 'accuracy'
+UNION ALL (SELECT 'worst_after_repair', key, round(value, 6) FROM m_repaired WHERE metric = 'flip_rate'
   ORDER BY value DESC, {WORST.replace('perturb', 'key')} LIMIT 1)"""
