@@ -37,7 +37,10 @@ MAX_PIVOTS = 2_048
 @dataclass
 class SimilarGroups:
     """``rows`` (id, key, text), ``groups`` (key, rep, copies, text) and
-    ``near`` (idx1, idx2, similarity) between group representatives."""
+    ``near`` (idx1, idx2, similarity) between group representatives.
+
+    The pair search runs once, when the object is made, and its result is read
+    from the checkpoint folder afterwards."""
 
     rows: DataFrame
     groups: DataFrame
@@ -161,7 +164,7 @@ def similar_texts(df: DataFrame, text_col: str, id_col: str,
                 .alias("similarity"))
         .filter(F.col("similarity") >= threshold)
     )
-    return SimilarGroups(rows.drop("words"), groups, near)
+    return SimilarGroups(rows.drop("words"), groups, materialise(near))
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -272,7 +275,7 @@ def similar_vectors(df: DataFrame, vector_col: str, id_col: str, text: Column |
     ).withColumns({"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head")
     placed = materialise(_assign_cells(groups, threshold))
     return SimilarGroups(rows.drop("vector"), groups.drop("vector"),
-                         _match_blocks(placed, threshold))
+                         materialise(_match_blocks(placed, threshold)))
 
 
 def pair_table(found: SimilarGroups) -> DataFrame:

@@ -81,7 +81,8 @@ def run_audit(df: DataFrame, text_col: str, label_col: str, id_col: str, attr_co
     """
     train, test = prepare.prepare_and_split(df, text_col, label_col, id_col, train_frac, seed)
     train, test = materialise(train), materialise(test)
-    pairs = materialise(similarity.tfidf_pairs(train, text_col, id_col, threshold))
+    found = similarity.similar_texts(train, text_col, id_col, threshold)
+    pairs = materialise(similarity.pair_table(found))
     repaired = materialise(repair.repair_chain(train, pairs, label_col, id_col, seed=seed))
     scored = scoring.score_identity(scoring.score_toxicity(test, text_col, toxicity), text_col,
                                     identity)
@@ -116,9 +117,8 @@ def run_audit(df: DataFrame, text_col: str, label_col: str, id_col: str, attr_co
     parts.append(report.with_version(report.metric_rows(
         drifted.withColumn("key", F.concat_ws("/", "feature", "method")), "drift",
         ["statistic", "p_value"], "key", ["drift"]), "original"))
-    counts = similarity.pair_count(similarity.similar_texts(train, text_col, id_col, threshold))
-    plan = repair.repair_plan(health.class_balance(train, label_col), label_col, counts, summary,
-                              bias, gaps)
+    plan = repair.repair_plan(health.class_balance(train, label_col), label_col,
+                              similarity.pair_count(found), summary, bias, gaps)
     result = Audit(report.stack(parts), plan, pairs, predictions, scorer)
     if out_dir:
         write_audit(result, train, test, repaired, out_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from textcheck.operators import (classify, drift, explain, fairness, features, h
                                  repair, report, robustness, scoring, similarity)
 from textcheck.plans import audit
 from textcheck.plans import datasets as ds
+from textcheck.session import materialise
 from textcheck.sources.tables import dataset_shape, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -550,7 +551,8 @@ def _versions(spark, d) -> DataFrame:
                                       robustness.robustness_summary(_details(spark, d, data=rows)))
         return report.with_version(parts, version)
 
-    return measured(data, "original").unionByName(measured(_repaired(data), "repaired"))
+    return measured(data, "original").unionByName(
+        measured(materialise(_repaired(data)), "repaired"))
 
 
 @query
