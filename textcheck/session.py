@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,25 +32,40 @@ def build_session(app: str = "textcheck", master: str | None = None,
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; own folder in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, which all executors share.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = os.path.join(tempfile.mkdtemp(prefix="textcheck-"), "checkpoints")
-    context.setCheckpointDir(shared)
+    if not context.getCheckpointDir():
+        shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+            "spark.checkpoint.dir", None)
+        if not shared:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            shared = os.path.join(tempfile.mkdtemp(prefix="textcheck-"), "checkpoints")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A fresh path in the shared folder; what is written there goes when the session ends."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/table"
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files.
+    """Write ``df`` as Parquet to the shared folder and go on from the files.
 
     For frames that several branches of one plan read: the work before them is
-    done once, and a lost executor costs a re-read, not a re-run of the lineage.
+    done once, later scans read only their columns, and a lost executor costs a
+    re-read, not a re-run of the lineage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark, folder = df.sparkSession, new_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
