@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from textcheck.llm import language_id
 from textcheck.llm.near_dup import near_duplicates
+from textcheck.llm.packing import pack_documents
+from textcheck.llm.quality_rules import quality
+from textcheck.llm.suffix_dedup import repeated_passages
+from textcheck.llm.token_files import read_token_files, write_token_files
+from textcheck.session import new_folder
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +28,40 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    write_token_files(_documents(spark, sf_dir), folder, WORD_BPE)
+    return read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_documents(spark, sf_dir))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), WORD_BPE)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_documents(spark, sf_dir), PIECES)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = language_id.held_out("doc_id")
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op6_token_id_files": op6_token_id_files,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 #: SQL counterparts; operators that SQL cannot express are tested against brute force.
