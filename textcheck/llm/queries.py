@@ -8,14 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textcheck.llm import language_id
+from textcheck.llm import byte_bpe, fingerprints, language_id
+from textcheck.llm.lm_scores import backoff_scores
 from textcheck.llm.near_dup import near_duplicates
 from textcheck.llm.packing import pack_documents
 from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import repeated_passages
+from textcheck.llm.token_counts import section_counts
 from textcheck.llm.token_files import read_token_files, write_token_files
 from textcheck.session import new_folder
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -24,10 +27,30 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, BYTE_RANKS).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return fingerprints.edited_fingerprints(docs, fingerprints.fit_lexicon(docs))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_counts(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(_documents(spark, sf_dir))
+
+
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     write_token_files(_documents(spark, sf_dir), folder, WORD_BPE)
@@ -56,7 +79,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_token_counts": op4_token_counts,
+    "op5_lm_scores": op5_lm_scores,
     "op6_token_id_files": op6_token_id_files,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,

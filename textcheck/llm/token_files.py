@@ -52,7 +52,7 @@ def train_dictionary(rows: DataFrame, tokenizer: str, end_id: int) -> bytes:
     if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
         return b""
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
     except zstandard.ZstdError:
         return b""
 
