@@ -58,29 +58,38 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(word: Column, ranks: Column) -> Column:
-    """The pieces of ``word`` (one character a byte), by its rank or by merges of lowest rank.
+    """The ids of ``word`` (one character a byte), by its rank or by merges of lowest rank.
 
-    The fold starts from single bytes. Each step joins the leftmost neighbours whose union has
-    the lowest rank, until no union has one.
+    The fold starts from single bytes and the ranks of neighbours' unions. Each step joins the
+    leftmost neighbours of the lowest rank and looks up the two unions that this changes, until
+    no union has a rank.
     """
     rank_of = lambda piece: F.get(ranks, _bucket(piece))[piece]
+    none = F.array().cast("array<int>")
 
-    def step(pieces: Column, _) -> Column:
-        unions = F.transform(
-            F.sequence(F.lit(0), F.size(pieces) - 2),
-            lambda i: rank_of(F.concat(F.get(pieces, i), F.get(pieces, i + 1))))
-        joined = lambda found: _let(
-            F.array_position(found, F.array_min(found)).cast("int"),
-            lambda at: F.when(at.isNull() | (at == 0), pieces).otherwise(F.concat(
-                F.slice(pieces, 1, at - 1),
-                F.array(F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1))),
-                F.slice(pieces, at + 2, F.size(pieces)))))
-        return F.when(F.size(pieces) < 2, pieces).otherwise(_let(unions, joined))
+    def joined(state: Column, at: Column) -> Column:
+        pieces, unions = state["pieces"], state["unions"]
+        size = F.size(pieces)
+
+        def around(union: Column) -> Column:
+            left = F.when(at > 1, F.array(rank_of(F.concat(F.get(pieces, at - 2), union)))).otherwise(none)
+            right = F.when(at + 1 < size, F.array(rank_of(F.concat(union, F.get(pieces, at + 1))))).otherwise(none)
+            return F.struct(
+                F.concat(F.slice(pieces, 1, at - 1), F.array(union), F.slice(pieces, at + 2, size)).alias("pieces"),
+                F.concat(F.slice(unions, 1, F.greatest(at - 2, F.lit(0))), left, right,
+                         F.slice(unions, at + 2, size)).alias("unions"))
+
+        return _let(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), around)
+
+    def step(state: Column, _) -> Column:
+        lowest = F.array_position(state["unions"], F.array_min(state["unions"])).cast("int")
+        return _let(lowest, lambda at: F.when(F.coalesce(at, F.lit(0)) == 0, state).otherwise(joined(state, at)))
 
     length = F.length(word)
-    folded = F.aggregate(F.when(length > 1, F.sequence(F.lit(1), length - 1)).otherwise(
-        F.array().cast("array<int>")), F.split(word, ""), step)
-    pieces = F.when(rank_of(word).isNotNull(), F.array(word)).otherwise(folded)
+    start = _let(F.split(word, ""), lambda p: F.struct(p.alias("pieces"), F.transform(
+        F.sequence(F.lit(1), length - 1), lambda i: rank_of(F.concat(F.get(p, i - 1), F.get(p, i)))).alias("unions")))
+    folded = F.aggregate(F.sequence(F.lit(1), length - 1), start, step, lambda state: state["pieces"])
+    pieces = F.when(rank_of(word).isNotNull() | (length < 2), F.array(word)).otherwise(folded)
     return F.transform(pieces, rank_of)
 
 
