@@ -416,7 +416,7 @@ def trained_importance(spark, d):
     scorer, test, _ = _trained(spark, d)
     terms, _ = classify.model_terms(spark, scorer.model)
     weights = features.weigh(features.term_counts(test, "text", "doc_id"), terms)
-    return explain.linear_importance(weights, terms, test.agg(F.count("*")).scalar(), top=100)
+    return explain.linear_importance(weights, terms, test.agg(F.count("*")).scalar())
 
 
 @query
