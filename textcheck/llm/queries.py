@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textcheck.llm import byte_bpe, fingerprints, language_id
+from textcheck.llm import byte_bpe, fingerprints, language_id, sanitise
+from textcheck.llm.hard_negatives import hard_negatives
 from textcheck.llm.lm_scores import backoff_scores
 from textcheck.llm.near_dup import near_duplicates
 from textcheck.llm.packing import pack_documents
+from textcheck.llm.periodic_runs import periodic_runs, strongest_run, with_repeats
 from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import repeated_passages
 from textcheck.llm.token_counts import section_counts
@@ -78,6 +80,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [sanitise.counted("entities", kind).alias(f"n_{kind}") for kind in sanitise.KINDS]
+    return sanitise.sanitise(_documents(spark, sf_dir)).select(
+        "doc_id", *counts, F.sha2(sanitise.listed(F.col("entities")), 256).alias("base_sha256"),
+        sanitise.listed(F.col("spans")).alias("spans"), F.sha2("sanitised", 256).alias("sanitised_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 50 == 0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeats(_documents(spark, sf_dir)))
+    best = strongest_run(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -89,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_private_data": op11_private_data,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: SQL counterparts; operators that SQL cannot express are tested against brute force.
