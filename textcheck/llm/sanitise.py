@@ -171,9 +171,8 @@ def disclosing_terms(docs: DataFrame, text: str = "text", least_windows: int = L
         "entity", "term", "window").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
         F.sum("n").alias("together"), F.count("*").alias("windows")).where(F.col("windows") >= least_windows)
     pairs = materialise(pairs.join(entities, "entity"))
-    wanted = materialise(pairs.select("term").distinct())
     spread = texts.select(F.explode(F.array_distinct(_terms_of(_without_addresses(F.col("text"))))).alias(
-        "term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
+        "term")).groupBy("term").agg(F.count("*").alias("with_term"))
     together = F.least("together", "with_term", "with_entity")
     share = F.log2(together * total / (F.col("with_entity") * F.col("with_term"))) / F.log2(
         total / F.col("with_entity"))
