@@ -5,8 +5,8 @@ from __future__ import annotations
 import sys
 from array import array
 
-#: Chunks kept at once, and the length up to which a chunk is kept.
-CACHED, LONGEST = 600_000, 64
+#: Bytes of chunks kept at once, those of the objects around a chunk, and the longest one kept.
+CACHED_BYTES, ENTRY_BYTES, LONGEST = 160 << 20, 160, 64
 #: Texts on which the short way for plain words must agree with the tokenizer, or it is not used.
 PROBES = ("The naïve École, straße.", "ÅNGSTRÖM ñandú. a, b ªº µ", "x.\ny")
 
@@ -14,67 +14,82 @@ PROBES = ("The naïve École, straße.", "ÅNGSTRÖM ñandú. a, b ªº µ", "x.
 class ChunkEncoder:
     """Encodes texts with a tokenizers file whose tokens never span a blank or line end.
 
-    Holds for tokenizers that drop white space when they split (as word_bpe_49k.json does):
-    the ids of a text are then those of its chunks, one after the other. Chunks of letters,
-    with a full stop or comma behind, go straight to the merges of the tokenizer's model, as
-    its normalizer and splitter do nothing but lower-case them; all others go through the whole
-    tokenizer. ``encode`` gives little-endian unsigned 16-bit ids; a larger vocabulary is refused.
+    Holds for tokenizers that drop white space when they split (as word_bpe_49k.json does): the
+    ids of a text are then those of its chunks, one after the other. A chunk of letters up to
+    U+00FF, with a full stop or comma behind, is lower-cased and goes straight to the merges of
+    the tokenizer's model, as its normalizer and splitter do nothing else to it; every other chunk
+    goes through the whole tokenizer, and a text that holds an added token (such as
+    ``<|endoftext|>``) does so as a whole. ``encode`` gives little-endian unsigned 16-bit ids; a
+    larger vocabulary is refused.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         spelling = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spelled = {c: spelling.pre_tokenize_str(c)[0][0] for c in map(chr, range(33, 256))}
+        self.spelled = str.maketrans({c: spelling.pre_tokenize_str(c)[0][0] for c in map(chr, range(33, 256))})
         self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
-        self.plain = True
-        whole = self.tokenizer.encode_batch(list(PROBES), add_special_tokens=False)
-        self.plain = self.encode(list(PROBES)) == [_packed(x.ids) for x in whole]
+        self.words: dict[str, bytes] = {}
+        self.held, self.plain = 0, True
+        probes = self._library(list(PROBES))
+        self.plain = self.encode(list(PROBES)) == probes
         self.cache.clear()
 
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [_packed(x.ids) for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def _word(self, letters: str) -> bytes:
-        return _packed([x.id for x in self.model.tokenize("".join([self.spelled[c] for c in letters]))])
+        ids = self.words.get(letters)
+        if ids is None:
+            ids = _packed([x.id for x in self.model.tokenize(letters.translate(self.spelled))])
+            self.words[letters] = ids
+            self.held += len(letters) + ENTRY_BYTES
+        return ids
 
     def _chunk(self, chunk: str) -> bytes | None:
         """Ids of letters up to U+00FF with a full stop or comma at most; None for all else."""
         stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
         if not stem.isalpha() or max(stem) > "\u00ff":
             return None
-        return self._word(stem) + (self._word(mark) if mark else b"")
+        return self._word(stem.lower()) + (self._word(mark) if mark else b"")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHED:
-            cache.clear()
-        split = [(_lowered(text) if self.plain else text).replace("\n", " ").split(" ") for text in texts]
+    def _fill(self, chunks: set[str]) -> dict[str, bytes]:
+        """Put the ids of new short chunks into the cache; those of long ones are returned."""
         rest, long = [], {}
-        for chunk in set().union(*split):
-            if chunk not in cache:
-                ids = self._chunk(chunk) if self.plain and len(chunk) <= LONGEST else None
-                if ids is None:
-                    rest.append(chunk)
-                else:
-                    cache[chunk] = ids
+        for chunk in chunks:
+            ids = self._chunk(chunk) if self.plain and len(chunk) <= LONGEST else None
+            if ids is None:
+                rest.append(chunk)
+            else:
+                self.cache[chunk] = ids
         for start in range(0, len(rest), 10_000):
             some = rest[start:start + 10_000]
-            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                (cache if len(chunk) <= LONGEST else long)[chunk] = _packed(found.ids)
-        return [b"".join(map(cache.__getitem__, chunks)) if not long or long.keys().isdisjoint(chunks)
-                else b"".join([long[c] if c in long else cache[c] for c in chunks]) for chunks in split]
+            for chunk, ids in zip(some, self._library(some)):
+                (self.cache if len(chunk) <= LONGEST else long)[chunk] = ids
+        self.held += sum(map(len, chunks)) + ENTRY_BYTES * len(chunks)
+        return long
 
-
-def _lowered(text: str) -> str:
-    """Lower case where that is the same letter by letter and in composed form: up to U+00FF."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cache = self.cache
+        if self.held > CACHED_BYTES:
+            cache.clear()
+            self.words.clear()
+            self.held = 0
+        whole = [i for i, text in enumerate(texts) if any(t in text for t in self.added)]
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        for i in whole:
+            split[i] = []
+        long = self._fill(set().union(*split).difference(cache))
+        ids = [b"".join(map(cache.__getitem__, chunks)) if not long or long.keys().isdisjoint(chunks)
+               else b"".join([long[c] if c in long else cache[c] for c in chunks]) for chunks in split]
+        for i, found in zip(whole, self._library([texts[i] for i in whole])):
+            ids[i] = found
+        return ids
 
 
 def _packed(ids: list[int]) -> bytes:
