@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,8 @@ from textcheck.llm.words import text_slices
 
 #: A block holds the frames of about so many bytes; a longer frame is a block of its own.
 BLOCK_BYTES = 1 << 20
-#: Sample that the dictionary is trained on: documents, and bytes of each. It bears on the size
-#: of the files alone, never on what is read back.
+#: Sample that the dictionary is trained on: documents, and bytes of each, from a place that a hash
+#: chooses. It bears on the size of the files alone, never on what is read back.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 1_000, 4_096, 65_536, 3
 
 BLOCK_SCHEMA = ("shard int, block int, first_doc_id long, last_doc_id long, n_tokens long, "
@@ -24,14 +25,21 @@ BLOCK_SCHEMA = ("shard int, block int, first_doc_id long, last_doc_id long, n_to
                 "offsets array<long>, frames binary")
 
 
+def _section(ids: bytes, limit: int) -> bytes:
+    """At most ``limit`` bytes of ``ids``, from a place chosen by their CRC-32."""
+    start = zlib.crc32(ids) % (max(len(ids) - limit, 0) // 2 + 1) * 2
+    return ids[start:start + limit]
+
+
 def _id_rows(tokenizer: str, end_id: int, limit: int | None):
-    """mapInArrow function: serialized ids (little-endian, 16 bits), cut to ``limit`` bytes if given."""
+    """mapInArrow function: serialized ids (little-endian, 16 bits), or ``limit`` bytes of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(tokenizer)
         end = end_id.to_bytes(2, "little")
         for batch, texts in text_slices(batches, "text"):
-            ids = [(x + end)[:limit] for x in encoder.encode(texts.to_pylist())]
+            ids = [x + end for x in encoder.encode(texts.to_pylist())]
+            ids = [_section(x, limit) for x in ids] if limit else ids
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())],
                                              ["doc_id", "ids"])
 
@@ -41,7 +49,8 @@ def _id_rows(tokenizer: str, end_id: int, limit: int | None):
 def train_dictionary(rows: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A dictionary from the id arrays of SAMPLE_ROWS documents, chosen by a hash over all rows.
 
-    Too few or too short arrays give an empty dictionary, which means plain frames.
+    It has an eighth of their bytes, DICTIONARY_BYTES at most. Arrays that no dictionary can be
+    trained on (a handful of short ones) give an empty one, which means plain frames.
     """
     import zstandard
 
@@ -49,10 +58,9 @@ def train_dictionary(rows: DataFrame, tokenizer: str, end_id: int) -> bytes:
     samples = [r["ids"] for r in some.mapInArrow(
         _id_rows(tokenizer, end_id, SAMPLE_BYTES), "doc_id long, ids binary").collect()]
     samples = [bytes(x) for x in samples if len(x) >= 8]
-    if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
-        return b""
+    size = max(256, min(DICTIONARY_BYTES, sum(map(len, samples)) // 8))
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=min(512, size // 4), d=8).as_bytes()
     except zstandard.ZstdError:
         return b""
 
@@ -77,8 +85,9 @@ def _frame_rows(tokenizer: str, end_id: int, dictionary: bytes):
     return run
 
 
-def _block_rows(digest: str):
+def _block_rows(tokenizer: str, end_id: int, dictionary: bytes, digest: str):
     """mapInArrow function over sorted partitions: frames gathered into indexed blocks."""
+    encoded = _frame_rows(tokenizer, end_id, dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -105,7 +114,7 @@ def _block_rows(digest: str):
                 ["shard", "block", "first_doc_id", "last_doc_id", "n_tokens", "dictionary_sha256",
                  "doc_ids", "counts", "offsets", "frames"])
 
-        for batch in batches:
+        for batch in encoded(batches):
             for doc_id, n, frame in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "frame"))):
                 ids.append(doc_id)
                 counts.append(n)
@@ -136,9 +145,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, text: str = "t
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "sha256 string, dictionary binary").coalesce(
         1).write.parquet(f"{path}/dictionary")
-    (rows.mapInArrow(_frame_rows(tokenizer, end_id, dictionary), "doc_id long, n_tokens long, frame binary")
-     .repartitionByRange("doc_id", "frame").sortWithinPartitions("doc_id", "frame")
-     .mapInArrow(_block_rows(digest), BLOCK_SCHEMA)
+    # Ranges are found on the ids, before the texts are encoded, so that each is encoded once; rows
+    # that share an id are dealt by their texts.
+    (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
+     .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+     .mapInArrow(_block_rows(tokenizer, end_id, dictionary, digest), BLOCK_SCHEMA)
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
