@@ -29,7 +29,7 @@ BANDS = {
 }
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
-CACHED, LONGEST = 300_000, 64
+CACHED, LONGEST = 250_000, 64
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens",
             "n_byte_tokens", "n_letters")
 

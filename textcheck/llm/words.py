@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once; a longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 512 << 10
 #: Positions of a word that get hash values of their own; later ones reuse them, multiplied.
 LANES = 64
 MAX64 = np.uint64(0xFFFFFFFFFFFFFFFF)
