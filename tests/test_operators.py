@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textcheck.constants import PERTURBATIONS
 from textcheck.functions.skew import join_by_key
 from textcheck.operators import (classify, drift, explain, fairness, features, health, repair, report,
-                                 robustness, scoring, similarity)
+                                 robustness, scoring, similarity, text_pairs, vector_pairs)
 
 WORDS = scoring.LexiconScorer("a/words", ("good", "fine"), ("1", "0"), 0.5)
 
@@ -52,9 +52,9 @@ def brute_pairs(texts, threshold):
 
 
 @pytest.mark.parametrize("threshold", [0.3, 0.6, 0.9])
-@pytest.mark.parametrize("block", [2_000, 3])
+@pytest.mark.parametrize("block", [256, 3])
 def test_tfidf_pairs_match_brute_force(spark, threshold, block, monkeypatch):
-    monkeypatch.setattr(similarity, "BLOCK", block)
+    monkeypatch.setattr(text_pairs, "BLOCK", block)
     rng = np.random.default_rng(3)
     vocabulary = [f"w{i:02d}" for i in range(30)]
     texts = [" ".join(rng.choice(vocabulary, rng.integers(1, 8))) for _ in range(50)]
@@ -69,14 +69,36 @@ def test_tfidf_pairs_match_brute_force(spark, threshold, block, monkeypatch):
     listed = [(r["idx1"], r["idx2"]) for r in similarity.pair_preview(found, 40).collect()]
     assert listed == [k for _, k in sorted((-round(v, 6), k) for k, v in want.items())][:40]
     # Dropping the later row of every pair gives the same rows from both lists.
-    kept = {r["id"] for r in repair.apply_dedupe(df, similarity.pair_table(found), "id", threshold).collect()}
-    assert kept == set(range(len(texts))) - {j for _, j in want}
+    later = similarity.later_rows(found)
+    for pairs in (similarity.pair_table(found), later):
+        kept = {r["id"] for r in repair.apply_dedupe(df, pairs, "id", threshold).collect()}
+        assert kept == set(range(len(texts))) - {j for _, j in want}
+    for row in later.collect():
+        earlier = {i: v for (i, j), v in want.items() if j == row["idx2"]}
+        assert row["idx1"] == min(earlier) and row["similarity"] == pytest.approx(max(earlier.values()))
+    assert {r["id"]: r["n_links"] for r in similarity.linked_rows(found).collect()} == {
+        i: sum(i in k for k in want) for i in range(len(texts))}
+
+
+def test_templates_give_linear_output(spark):
+    rng = np.random.default_rng(5)
+    words = [f"t{i}" for i in range(60)]
+    texts = [" ".join([*words, f"x{i}"]) for i in range(600)] + [
+        " ".join(rng.choice([f"o{i}" for i in range(900)], 40)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = similarity.similar_texts(df, "text", "id", 0.6)
+    want = brute_pairs(texts, 0.6)
+    assert len(want) >= 600 * 599 / 2
+    assert found.links.count() <= 800 and similarity.pair_count(found).first()[0] == len(want)
+    assert found.search.seated.where("rep < 600").count() <= 600 * 3
+    preview = [(r["idx1"], r["idx2"]) for r in similarity.pair_preview(found, 30).collect()]
+    assert preview == [k for _, k in sorted((-round(v, 6), k) for k, v in want.items())][:30]
 
 
 @pytest.mark.parametrize("cell_rows, block", [(4096, 2000), (25, 7)])
 def test_embedding_pairs_match_brute_force(spark, cell_rows, block, monkeypatch):
-    monkeypatch.setattr(similarity, "CELL_ROWS", cell_rows)
-    monkeypatch.setattr(similarity, "BLOCK", block)
+    monkeypatch.setattr(vector_pairs, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(vector_pairs, "BLOCK", block)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 5))
     v = centres[rng.integers(0, 6, 150)] + rng.normal(scale=0.3, size=(150, 5))
@@ -91,6 +113,29 @@ def test_embedding_pairs_match_brute_force(spark, cell_rows, block, monkeypatch)
     assert len(near) == len(set(near)) and set(near) <= want
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.95])
+def test_hash_tables_find_nearly_all(spark, threshold):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(150, 24))
+    v = np.concatenate([centres + rng.normal(scale=s, size=centres.shape) for s in (0, 0.2, 0.35, 0.45)])
+    v[40] = v[41]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    exact = {(r["idx1"], r["idx2"]) for r in similarity.similar_vectors(df, "v", "id", threshold=threshold).near.collect()}
+    found = similarity.hashed_vectors(df, "v", "id", threshold=threshold)
+    listed = [(r["idx1"], r["idx2"]) for r in found.near.collect()]
+    assert len(listed) == len(set(listed)) and set(listed) <= exact
+    assert len(exact) > 100 and len(listed) >= 0.95 * len(exact)
+    assert found.links.count() <= len(v)
+
+
+def test_empty_tables_have_no_pairs(spark):
+    none = spark.createDataFrame([], "id long, text string, v array<double>")
+    for found in (similarity.similar_texts(none, "text", "id"), similarity.similar_vectors(none, "v", "id"),
+                  similarity.hashed_vectors(none, "v", "id")):
+        assert similarity.pair_table(found).count() == 0 and similarity.pair_count(found).first()[0] == 0
+        assert similarity.linked_rows(found).count() == 0 and similarity.pair_preview(found).count() == 0
+
+
 def test_leakage(spark):
     df = spark.createDataFrame([(1, "aa bb cc", True), (2, "aa bb cc", False), (3, "CC bb aa!", False),
                                 (4, "dd ee", False)], "id long, text string, is_train boolean")

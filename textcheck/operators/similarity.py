@@ -1,18 +1,19 @@
 """Near-duplicate pairs over TF-IDF and embedding cosine; train/test leakage.
 
-Rows with the same vector form one group, and groups are compared instead of
-rows. A pair table therefore stays linear in the number of copies: each later
-copy is listed once, next to the first row of its group, and two groups that
-are similar are listed once with their sizes. ``pair_count`` and
-``pair_preview`` give the numbers and rows of the pair list over single rows.
+Rows with the same vector form one group, and groups are compared instead of rows. Pairs of
+groups are found, verified and reduced in one place each (``text_pairs``, ``vector_pairs``):
+numbers of pairs, links per row, leaks and previews are linear in the rows, however many rows
+are alike. Only ``pair_table`` and ``leakage_pairs`` list the pairs of groups themselves.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,248 +21,114 @@ from pyspark.sql.window import Window
 from textcheck.constants import PREFIX_CHARS, SIMILARITY_THRESHOLD
 from textcheck.functions import text as tx
 from textcheck.functions.checks import require_columns
-from textcheck.functions.seeded import seeded_hash
 from textcheck.functions.skew import join_by_key
-from textcheck.operators.features import smooth_idf
+from textcheck.operators.text_pairs import TextPairs, text_pairs
+from textcheck.operators.vector_pairs import BlockPairs, HashPairs, block_pairs, hash_pairs
 from textcheck.session import materialise
 
-# Rounding slack of the candidate bounds; the final test uses the plain threshold.
-SLACK = 1e-9
-# Postings, or vectors, that meet in one task.
-BLOCK = 2_000
-# Vectors per pivot cell aimed at, and the most pivots sent to the tasks.
-CELL_ROWS = 4_096
-MAX_PIVOTS = 2_048
+NEAR = "idx1 long, idx2 long, similarity double"
+LINKS = ("rep long, first_partner long, similarity double, earlier_rows long, linked_rows long, "
+         "linked_train_rows long")
 
 
-@dataclass
-class SimilarGroups:
-    """``rows`` (id, key, text), ``groups`` (key, rep, copies, text) and
-    ``near`` (idx1, idx2, similarity) between group representatives.
+def _listed(pairs: dict) -> Iterator[pa.RecordBatch]:
+    names = ["idx1", "idx2", "similarity"]
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[c]) for c in names], names)
 
-    The pair search runs once, when the object is made, and its result is read
-    from the checkpoint folder afterwards."""
 
-    rows: DataFrame
-    groups: DataFrame
-    near: DataFrame
+def _linked(pairs: dict) -> Iterator[pa.RecordBatch]:
+    """Per row of a block: its smallest earlier partner, the best similarity to an earlier one,
+    and the rows of its earlier and of all partners."""
+    reps, at = np.unique(np.concatenate([pairs["idx1"], pairs["idx2"]]), return_inverse=True)
+    early, late = np.split(at, 2)
+    size = len(reps)
+    first = np.full(size, np.iinfo(np.int64).max)
+    np.minimum.at(first, late, pairs["idx1"])
+    best = np.full(size, -np.inf)
+    np.maximum.at(best, late, pairs["similarity"])
+    rows = [np.zeros(size, np.int64) for _ in range(3)]
+    np.add.at(rows[0], late, pairs["copies1"])
+    np.add.at(rows[1], late, pairs["copies1"])
+    np.add.at(rows[1], early, pairs["copies2"])
+    np.add.at(rows[2], late, pairs["train_rows1"])
+    np.add.at(rows[2], early, pairs["train_rows2"])
+    none = ~np.isfinite(best)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(reps), pa.array(first, mask=none), pa.array(best, mask=none), *map(pa.array, rows)],
+        ["rep", "first_partner", "similarity", "earlier_rows", "linked_rows", "linked_train_rows"])
 
 
-def _text_rows(df: DataFrame, text_col: str, id_col: str, *keep: str) -> DataFrame:
-    """Rows with a vector key: the sorted words decide the TF vector."""
-    require_columns(df, text_col, id_col, *keep)
-    listed = df.select(F.col(id_col).alias("id"),
-                       F.substring(text_col, 1, PREFIX_CHARS).alias("text"),
-                       F.array_sort(tx.tokens(F.col(text_col))).alias("words"), *keep)
-    key = F.unhex(F.sha2(F.array_join("words", " "), 256))
-    return listed.withColumn("key", key)
+def _leading(n: int) -> Callable:
+    """The first ``n`` pairs of a block by (rounded similarity desc, idx1, idx2)."""
 
+    def reduce(pairs: dict) -> Iterator[pa.RecordBatch]:
+        pairs = pairs | {"similarity": np.round(pairs["similarity"], 6)}
+        order = np.lexsort((pairs["idx2"], pairs["idx1"], -pairs["similarity"]))[:n]
+        yield from _listed({c: v[order] for c, v in pairs.items()})
 
-def _terms(postings: DataFrame) -> DataFrame:
-    """(term, term_id, doc_freq, n_postings). The ids only have to be distinct, and
-    writing the table fixes them; joins then move numbers instead of words."""
-    counted = postings.groupBy("term").agg(F.sum("copies").alias("doc_freq"),
-                                           F.count("*").alias("n_postings"))
-    return materialise(counted.withColumn("term_id", F.monotonically_increasing_id()))
+    return reduce
 
 
-def _weigh_groups(groups: DataFrame, n_docs: int) -> DataFrame:
-    """Unit TF-IDF postings (rep, term_id, x, reach).
+@dataclass
+class SimilarGroups:
+    """``rows`` (id, key, text), ``groups`` (key, rep, copies, text) and the ``search`` for pairs
+    of group representatives, which is prepared when the object is made."""
 
-    Terms run from common to rare. ``reach`` is the length of the vector up to
-    and with the term.
-    """
-    postings = groups.select("rep", "copies", F.explode("words").alias("term")).groupBy(
-        "rep", "copies", "term").agg(F.count("*").alias("tf"))
-    weighted = join_by_key(postings, _terms(postings), "term", "n_postings").select(
-        "rep", "term_id", "doc_freq",
-        (F.col("tf") * smooth_idf(F.lit(n_docs), F.col("doc_freq"))).alias("raw"))
-    whole = Window.partitionBy("rep")
-    upto = whole.orderBy(F.desc("doc_freq"), "term_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    square = F.col("raw") * F.col("raw")
-    return weighted.select("rep", "term_id", "raw", F.sum(square).over(upto).alias("part"),
-                           F.sum(square).over(whole).alias("all")).select(
-        "rep", "term_id", (F.col("raw") / F.sqrt("all")).alias("x"),
-        F.sqrt(F.col("part") / F.col("all")).alias("reach"))
-
-
-def _index(weighted: DataFrame, threshold: float) -> DataFrame:
-    """Mark the terms to index: those from which on ``reach`` is at the threshold.
-
-    The leading part before them, shorter than the threshold, need not be indexed
-    (prefix filter for cosine joins, WWW 2007); ``rest`` is its length.
-    """
-    indexed = F.col("reach") >= threshold - SLACK
-    rest = F.max(F.when(~indexed, F.col("reach")).otherwise(0.0)).over(Window.partitionBy("rep"))
-    return weighted.withColumn("rest", rest).withColumn("indexed", indexed)
+    rows: DataFrame
+    groups: DataFrame
+    search: TextPairs | BlockPairs | HashPairs | None
 
+    def reduced(self, reduce: Callable, schema: str) -> DataFrame:
+        if self.search is None:
+            return self.rows.sparkSession.createDataFrame([], schema)
+        return self.search.reduced(reduce, schema)
 
-def _candidates(index: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that share an indexed term and whose cosine can reach the threshold.
+    @cached_property
+    def near(self) -> DataFrame:
+        """(idx1, idx2, similarity) of all similar pairs of representatives."""
+        return materialise(self.reduced(_listed, NEAR))
 
-    If no indexed term is shared, the cosine stays below the length of one
-    unindexed part, that is below the threshold; so no pair is lost. A long
-    posting list is cut into chunks and joined chunk against chunk, which keeps
-    every task to two chunks however frequent the term is.
-    """
-    sizes = index.groupBy("term_id").agg(F.count("*").alias("n")).filter("n > 1")
-    split = (
-        join_by_key(index, sizes, "term_id", "n")
-        .withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
-    )
-    left = split.select("term_id", "rep", "x", "reach", "rest", F.col("chunk").alias("lo"),
-                        F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("hi")).alias("l")
-    right = split.select("term_id", "rep", "x", "reach", "rest", F.col("chunk").alias("hi"),
-                         F.explode(F.sequence(F.lit(0), "chunk")).alias("lo")).alias("r")
-    met = left.join(right, ["term_id", "lo", "hi"]).filter(
-        (F.col("lo") < F.col("hi")) | (F.col("l.rep") < F.col("r.rep")))
-    pairs = met.select(
-        F.least("l.rep", "r.rep").alias("idx1"), F.greatest("l.rep", "r.rep").alias("idx2"),
-        (F.col("l.x") * F.col("r.x")).alias("part"),
-        (F.col("l.reach") * F.col("r.reach")).alias("reach"),
-        F.greatest("l.rest", "r.rest").alias("rest"))
-    # The rarest shared term bounds the cosine by the product of the two reaches;
-    # terms not indexed on both sides add at most the longer unindexed part.
-    return (
-        pairs.groupBy("idx1", "idx2")
-        .agg(F.sum("part").alias("part"), F.max("reach").alias("reach"),
-             F.max("rest").alias("rest"))
-        .filter((F.col("reach") >= threshold - SLACK)
-                & (F.col("part") + F.col("rest") >= threshold - SLACK))
-        .select("idx1", "idx2")
-    )
+    @cached_property
+    def links(self) -> DataFrame:
+        """One row for each representative with a similar group: smallest earlier partner, best
+        similarity to an earlier one, rows of earlier partners, of all, and training rows of all."""
+        return materialise(self.reduced(_linked, LINKS).groupBy("rep").agg(
+            F.min("first_partner").alias("first_partner"), F.max("similarity").alias("similarity"),
+            *[F.sum(c).alias(c) for c in ("earlier_rows", "linked_rows", "linked_train_rows")]))
 
 
-def similar_texts(df: DataFrame, text_col: str, id_col: str,
-                  threshold: float = SIMILARITY_THRESHOLD,
-                  train_flag: str | None = None) -> SimilarGroups:
-    """Groups of rows with equal words and all group pairs with cosine >= threshold."""
-    keep = [train_flag] if train_flag else []
-    rows = _text_rows(df, text_col, id_col, *keep)
-    extra = [F.count_if(train_flag).alias("train_rows")] if train_flag else []
-    grouped = rows.groupBy("key").agg(
-        F.min(F.struct("id", "text")).alias("head"), F.count("*").alias("copies"),
-        F.first("words").alias("words"), *extra,
-    ).filter(F.size("words") > 0).withColumns(
-        {"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head").persist()
-    try:
-        n_docs = df.agg(F.count("*")).first()[0]
-        index = materialise(_index(_weigh_groups(grouped, n_docs), threshold))
-        groups = materialise(grouped.drop("words"))
-    finally:
-        grouped.unpersist()
-    pairs = _candidates(index.filter("indexed"), threshold)
-    vectors = index.groupBy("rep").agg(F.map_from_entries(
-        F.collect_list(F.struct("term_id", "x"))).alias("vector"))
-    shared = F.map_zip_with("vector1", "vector2", lambda _, a, b: F.coalesce(a * b, F.lit(0.0)))
-    near = (
-        pairs
-        .join(vectors.toDF("idx1", "vector1"), "idx1")
-        .join(vectors.toDF("idx2", "vector2"), "idx2")
-        .select("idx1", "idx2", F.aggregate(F.map_values(shared), F.lit(0.0), lambda a, b: a + b)
-                .alias("similarity"))
-        .filter(F.col("similarity") >= threshold)
-    )
-    return SimilarGroups(rows.drop("words"), groups, materialise(near))
+def _text_rows(df: DataFrame, text_col: str, id_col: str, *keep: str) -> DataFrame:
+    """Rows with a vector key, the digest of the sorted words, and the words as numbers."""
+    require_columns(df, text_col, id_col, *keep)
+    words = F.array_sort(tx.tokens(F.col(text_col)))
+    listed = df.select(F.col(id_col).alias("id"),
+                       F.substring(text_col, 1, PREFIX_CHARS).alias("text"), words.alias("words"), *keep)
+    key = F.unhex(F.sha2(F.array_join("words", " "), 256))
+    return materialise(listed.select("id", "text", key.alias("key"), F.transform(
+        "words", lambda w: F.xxhash64(w)).alias("terms"), *keep))
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    matrix = np.array(vectors.tolist(), dtype="float64")
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+def _grouped(rows: DataFrame, payload: str, train_flag: str | None) -> DataFrame:
+    """(key, rep, copies, train_rows, text, payload): one row for each key, from its first row."""
+    train = F.count_if(train_flag) if train_flag else F.lit(0)
+    counted = rows.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"),
+                                      train.cast("bigint").alias("train_rows"))
+    return materialise(counted.join(rows.select(F.col("id").alias("rep"), "text", payload), "rep"))
 
 
-def _assign_cells(groups: DataFrame, threshold: float) -> DataFrame:
-    """Send every vector to its nearest pivot and to each lower-numbered cell
-    that may hold a partner: (rep, vector, cell, home).
+def similar_texts(df: DataFrame, text_col: str, id_col: str,
+                  threshold: float = SIMILARITY_THRESHOLD,
+                  train_flag: str | None = None) -> SimilarGroups:
+    """Groups of rows with equal words and the search for group pairs with cosine >= threshold.
 
-    A partner lies within ``radius``, so it can live across the bisector of two
-    pivots only if the bisector is no farther than that. A pair is reported by
-    the lower-numbered of its two home cells.
-    """
-    n_rows = groups.count()
-    n_pivots = max(1, min(MAX_PIVOTS, n_rows // CELL_ROWS))
-    picked = groups.orderBy(seeded_hash(0, F.col("rep")), "rep").select("vector").limit(
-        n_pivots).toPandas()
-    if picked.empty:
-        return groups.select("rep", "vector", F.lit(0).alias("cell"), F.lit(True).alias("home"))
-    pivots = _unit(picked["vector"])
-    between = np.linalg.norm(pivots[:, None, :] - pivots[None, :, :], axis=2)
-    radius = float(np.sqrt(max(0.0, 2.0 - 2.0 * threshold))) + SLACK
-
-    def assign(batches):
-        for batch in batches:
-            if batch.empty:
-                continue
-            unit = _unit(batch["vector"])
-            squared = np.maximum(0.0, 2.0 - 2.0 * unit @ pivots.T)
-            home = squared.argmin(axis=1)
-            gap = squared - squared[np.arange(len(home)), home][:, None]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                to_border = gap / (2.0 * between[home])
-            # Equal pivots have no border between them: always visit.
-            visits = (to_border <= radius) | (between[home] == 0.0)
-            visits &= np.arange(len(pivots))[None, :] < home[:, None]
-            visits[np.arange(len(home)), home] = True
-            row, cell = np.nonzero(visits)
-            yield pd.DataFrame({
-                "rep": batch["rep"].to_numpy()[row],
-                "vector": [unit[i] for i in row],
-                "cell": cell.astype("int32"), "home": cell == home[row]})
-
-    return groups.select("rep", "vector").mapInPandas(
-        assign, "rep long, vector array<double>, cell int, home boolean")
-
-
-def _match_blocks(placed: DataFrame, threshold: float) -> DataFrame:
-    """Compare home rows with home rows and with visitors, block against block."""
-    sizes = placed.groupBy("cell").agg(
-        F.ceil(F.count_if("home") / BLOCK).cast("int").alias("home_blocks"),
-        F.ceil(F.count_if(~F.col("home")) / BLOCK).cast("int").alias("visit_blocks"))
-    # One row per cell and at most MAX_PIVOTS cells.
-    sized = placed.join(F.broadcast(sizes), "cell").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.when(F.col("home"), F.col("home_blocks"))
-                        .otherwise(F.col("visit_blocks"))).cast("int"))
-    block, first, last = F.col("block"), F.lit(0), F.col("home_blocks") - 1
-    none = F.array().cast("array<int>")
-    visit_blocks = F.when(F.col("visit_blocks") > 0,
-                          F.sequence(first, F.col("visit_blocks") - 1)).otherwise(none)
-
-    def seats(numbers: Column, left: bool, homes: bool) -> Column:
-        """Block pairs (lo, hi) a row takes part in, on the left or the right side."""
-        return F.transform(numbers, lambda n: F.struct(
-            F.lit(left).alias("left"), F.lit(homes).alias("homes"),
-            (block if left else n).alias("lo"), (n if left else block).alias("hi")))
-
-    taken = F.when(F.col("home"), F.concat(
-        seats(F.sequence(block, last), True, True), seats(F.sequence(first, block), False, True),
-        seats(visit_blocks, True, False),
-    )).otherwise(seats(F.when(last >= 0, F.sequence(first, last)).otherwise(none), False, False))
-    seated = sized.select("rep", "vector", "cell", F.inline(taken))
-
-    def match(key, rows: pd.DataFrame) -> pd.DataFrame:
-        _, homes, lo, hi = key
-        one, two = rows[rows["left"]], rows[~rows["left"]]
-        if one.empty or two.empty:
-            return pd.DataFrame({"idx1": [], "idx2": [], "similarity": []}).astype(
-                {"idx1": "int64", "idx2": "int64", "similarity": "float64"})
-        a, b = one["rep"].to_numpy(), two["rep"].to_numpy()
-        cosine = np.array(one["vector"].tolist()) @ np.array(two["vector"].tolist()).T
-        keep = cosine >= threshold
-        if homes and lo == hi:
-            keep &= a[:, None] < b[None, :]
-        i, j = np.nonzero(keep)
-        return pd.DataFrame({"idx1": np.minimum(a[i], b[j]), "idx2": np.maximum(a[i], b[j]),
-                             "similarity": cosine[i, j]})
-
-    return seated.groupBy("cell", "homes", "lo", "hi").applyInPandas(
-        match, "idx1 long, idx2 long, similarity double")
+    Words are told apart by their 64-bit hashes; ids are unique."""
+    rows = _text_rows(df, text_col, id_col, *([train_flag] if train_flag else []))
+    groups = _grouped(rows.filter(F.size("terms") > 0), "terms", train_flag)
+    n_docs = rows.count()
+    return SimilarGroups(rows.drop("terms"), groups.drop("terms"), text_pairs(groups, n_docs, threshold))
 
 
-def similar_vectors(df: DataFrame, vector_col: str, id_col: str, text: Column | None = None,
-                    threshold: float = SIMILARITY_THRESHOLD) -> SimilarGroups:
-    """Groups of equal vectors and all group pairs with cosine >= threshold, exactly."""
+def _vector_groups(df: DataFrame, vector_col: str, id_col: str, text: Column | None) -> tuple[DataFrame, DataFrame]:
     require_columns(df, vector_col, id_col)
     prefix = F.substring(text, 1, PREFIX_CHARS) if text is not None else F.lit(None).cast("string")
     vector = F.col(vector_col)
@@ -269,13 +136,45 @@ def similar_vectors(df: DataFrame, vector_col: str, id_col: str, text: Column |
     rows = df.select(
         F.col(id_col).alias("id"), prefix.alias("text"), vector.alias("vector"),
         F.unhex(F.sha2(vector.cast("string"), 256)).alias("key")).filter(length > 0)
-    groups = rows.groupBy("key").agg(
-        F.min(F.struct("id", "text")).alias("head"), F.count("*").alias("copies"),
-        F.first("vector").alias("vector"),
-    ).withColumns({"rep": F.col("head.id"), "text": F.col("head.text")}).drop("head")
-    placed = materialise(_assign_cells(groups, threshold))
-    return SimilarGroups(rows.drop("vector"), groups.drop("vector"),
-                         materialise(_match_blocks(placed, threshold)))
+    return rows.drop("vector"), _grouped(rows, "vector", None)
+
+
+def similar_vectors(df: DataFrame, vector_col: str, id_col: str, text: Column | None = None,
+                    threshold: float = SIMILARITY_THRESHOLD) -> SimilarGroups:
+    """Groups of equal vectors and the exact search for group pairs with cosine >= threshold."""
+    rows, groups = _vector_groups(df, vector_col, id_col, text)
+    return SimilarGroups(rows, groups.drop("vector"), block_pairs(groups, threshold))
+
+
+def hashed_vectors(df: DataFrame, vector_col: str, id_col: str, text: Column | None = None,
+                   threshold: float = SIMILARITY_THRESHOLD, **tables: int) -> SimilarGroups:
+    """As similar_vectors, by hash tables: every pair is true, a few may be missing."""
+    rows, groups = _vector_groups(df, vector_col, id_col, text)
+    return SimilarGroups(rows, groups.drop("vector"), hash_pairs(groups, threshold, **tables))
+
+
+def linked_rows(found: SimilarGroups) -> DataFrame:
+    """(id, class_id, n_links): every row, the first row of its group, and the number of other rows
+    that are equal or similar to it."""
+    sizes = found.groups.join(found.links.select("rep", "linked_rows"), "rep", "left").select(
+        "key", F.col("rep").alias("class_id"), "copies",
+        (F.col("copies") - 1 + F.coalesce("linked_rows", F.lit(0))).alias("n_links"))
+    known = join_by_key(found.rows.select("id", "key"), sizes, "key", "copies").select("id", "class_id", "n_links")
+    return found.rows.select("id").join(known, "id", "left").select(
+        "id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def later_rows(found: SimilarGroups) -> DataFrame:
+    """(idx1, idx2, similarity): one row for each row idx2 that is equal or similar to an earlier
+    one, with its smallest such partner and the best similarity to one."""
+    best = found.groups.join(found.links, "rep", "left").select(
+        "key", "rep", "copies", F.least("rep", "first_partner").alias("first"), "first_partner",
+        "similarity").where("copies > 1 OR first_partner IS NOT NULL")
+    met = join_by_key(found.rows.select("id", "key"), best, "key", "copies")
+    copy = F.col("id") != F.col("rep")
+    return met.where(copy | F.col("first_partner").isNotNull()).select(
+        F.when(copy, F.col("first")).otherwise(F.col("first_partner")).alias("idx1"),
+        F.col("id").alias("idx2"), F.when(copy, F.lit(1.0)).otherwise(F.col("similarity")).alias("similarity"))
 
 
 def pair_table(found: SimilarGroups) -> DataFrame:
@@ -296,9 +195,9 @@ def pair_table(found: SimilarGroups) -> DataFrame:
     return with_group_info(found, "copies", "text").select(*copies.columns).unionByName(copies)
 
 
-def with_group_info(found: SimilarGroups, *names: str) -> DataFrame:
+def with_group_info(found: SimilarGroups, *names: str, near: DataFrame | None = None) -> DataFrame:
     """Near pairs with columns of both groups, suffixed 1 and 2."""
-    out = found.near
+    out = found.near if near is None else near
     for side in ("1", "2"):
         info = found.groups.select(F.col("rep").alias(f"idx{side}"),
                                    *[F.col(n).alias(f"{n}{side}") for n in names])
@@ -317,11 +216,11 @@ def embedding_pairs(df: DataFrame, vector_col: str, id_col: str, text: Column |
 
 
 def pair_count(found: SimilarGroups) -> DataFrame:
-    """Pairs of single rows at or above the threshold, from group sizes."""
+    """Pairs of single rows at or above the threshold, from group sizes and links."""
     inside = found.groups.select((F.col("copies") * (F.col("copies") - 1) / 2)
                                  .cast("bigint").alias("n"))
-    across = with_group_info(found, "copies").select(
-        (F.col("copies1") * F.col("copies2")).alias("n"))
+    across = found.links.join(found.groups.select("rep", "copies"), "rep").select(
+        (F.col("copies") * F.col("earlier_rows")).alias("n"))
     return inside.unionByName(across).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"))
 
 
@@ -341,7 +240,8 @@ def pair_preview(found: SimilarGroups, n: int = 100) -> DataFrame:
     inside = found.groups.join(second, "key").select(
         F.col("rep").alias("idx1"), "idx2", F.lit(1.0).alias("similarity"),
         F.col("key").alias("key1"), F.col("key").alias("key2"))
-    across = with_group_info(found, "key").select(*inside.columns)
+    near = found.reduced(_leading(n), NEAR).orderBy(*order).limit(n)
+    across = with_group_info(found, "key", near=near).select(*inside.columns)
     # n rows with at most n + 1 members on either side.
     leading = F.broadcast(inside.unionByName(across).orderBy(*order).limit(n).select(
         "key1", "key2", "similarity"))
@@ -362,14 +262,11 @@ def _leaks(found: SimilarGroups) -> DataFrame:
     both = found.groups.withColumn("test_rows", F.col("copies") - F.col("train_rows"))
     inside = both.filter("train_rows > 0 AND test_rows > 0").select(
         F.col("rep").alias("idx1"), F.col("rep").alias("idx2"), F.lit(1.0).alias("similarity"),
-        (F.col("train_rows") * F.col("test_rows")).alias("n_leaks"),
-        F.lit(True).alias("leaks1"), F.lit(True).alias("leaks2"))
-    wide = with_group_info(SimilarGroups(found.rows, both, found.near), "train_rows", "test_rows")
+        (F.col("train_rows") * F.col("test_rows")).alias("n_leaks"))
+    wide = with_group_info(SimilarGroups(found.rows, both, None), "train_rows", "test_rows", near=found.near)
     one = F.col("train_rows2") * F.col("test_rows1")
     two = F.col("train_rows1") * F.col("test_rows2")
-    across = wide.filter(one + two > 0).select(
-        "idx1", "idx2", "similarity", (one + two).alias("n_leaks"),
-        (one > 0).alias("leaks1"), (two > 0).alias("leaks2"))
+    across = wide.filter(one + two > 0).select("idx1", "idx2", "similarity", (one + two).alias("n_leaks"))
     return inside.unionByName(across)
 
 
@@ -388,10 +285,8 @@ def leakage_free_test(flagged: DataFrame, text_col: str, id_col: str,
                       threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """Test rows without an exact or near copy among the training rows."""
     found = similar_texts(flagged, text_col, id_col, threshold, train_flag)
-    leaks = _leaks(found)
-    reps = leaks.filter("leaks1").select(F.col("idx1").alias("rep")).unionByName(
-        leaks.filter("leaks2").select(F.col("idx2").alias("rep"))).distinct()
-    leaking = found.groups.join(reps, "rep", "left_semi").select("key", "copies")
+    leaking = found.groups.join(found.links.select("rep", "linked_train_rows"), "rep", "left").where(
+        F.col("train_rows") + F.coalesce("linked_train_rows", F.lit(0)) > 0).select("key", "copies")
     leaked = join_by_key(found.rows.filter(f"NOT {train_flag}").select("id", "key"),
                          leaking, "key", "copies").select(F.col("id").alias(id_col))
     return flagged.filter(f"NOT {train_flag}").join(leaked, id_col, "left_anti")

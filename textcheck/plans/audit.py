@@ -83,7 +83,8 @@ def run_audit(df: DataFrame, text_col: str, label_col: str, id_col: str, attr_co
     train, test = materialise(train), materialise(test)
     found = similarity.similar_texts(train, text_col, id_col, threshold)
     pairs = materialise(similarity.pair_table(found))
-    repaired = materialise(repair.repair_chain(train, pairs, label_col, id_col, seed=seed))
+    repaired = materialise(repair.repair_chain(train, similarity.later_rows(found), label_col, id_col,
+                                               seed=seed))
     scored = scoring.score_identity(scoring.score_toxicity(test, text_col, toxicity), text_col,
                                     identity)
     bias = scoring.bias_summary(scored, [scoring.score_column(s) for s in identity])

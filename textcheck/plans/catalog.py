@@ -237,6 +237,25 @@ def _similar(spark, d):
     return similarity.similar_texts(ds.texts(spark, d), "text", "doc_id")
 
 
+@query
+def tfidf_links(spark, d):
+    return similarity.linked_rows(_similar(spark, d))
+
+
+@query
+def tfidf_later_rows(spark, d):
+    return similarity.later_rows(_similar(spark, d))
+
+
+@query
+def hashed_embedding_pairs(spark, d):
+    """Vectors and their copies in steps of 1/16, found again by hash tables."""
+    exact = ds.table(spark, d, "embeddings").select((2 * F.col("vec_id")).alias("id"), F.col(
+        "embedding").cast("array<double>").alias("v"))
+    coarse = exact.select(F.col("id") + 1, F.transform("v", lambda x: F.floor(x * 16 + 0.5) / 16.0))
+    return similarity.hashed_vectors(exact.union(coarse), "v", "id", threshold=ds.COARSE_THRESHOLD).near
+
+
 @query
 def pair_count(spark, d):
     return similarity.pair_count(_similar(spark, d))
@@ -508,8 +527,7 @@ def repair_plan(spark, d):
 @query
 def apply_dedupe(spark, d):
     docs = ds.texts(spark, d)
-    pairs = similarity.tfidf_pairs(docs, "text", "doc_id")
-    return repair.apply_dedupe(docs, pairs, "doc_id")
+    return repair.apply_dedupe(docs, similarity.later_rows(_similar(spark, d)), "doc_id")
 
 
 @query
@@ -525,8 +543,8 @@ def apply_rebalance_exact(spark, d):
 
 
 def _repaired(data: DataFrame) -> DataFrame:
-    return repair.repair_chain(data, similarity.tfidf_pairs(data, "text", "doc_id"), "quality",
-                               "doc_id")
+    later = similarity.later_rows(similarity.similar_texts(data, "text", "doc_id"))
+    return repair.repair_chain(data, later, "quality", "doc_id")
 
 
 @query

@@ -31,6 +31,8 @@ COEFFICIENTS = {
     "of the": 2.0, "in the": -1.4, "to the": 0.9, "de la": 1.3,
 }
 # No pair of the given embeddings is closer than this by much.
+# Copies of unit vectors in steps of 1/16 stay far closer than this, other vectors farther.
+COARSE_THRESHOLD = 0.95
 EMBEDDING_THRESHOLD = 0.4
 
 

@@ -197,6 +197,21 @@ SELECT p.idx1, p.idx2, round(CASE WHEN a.rep = b.rep THEN 1.0 ELSE p.similarity
 FROM all_pairs p JOIN grp a ON a.doc_id = p.idx1 JOIN grp b ON b.doc_id = p.idx2
 WHERE a.doc_id = a.rep AND (a.rep = b.rep OR b.doc_id = b.rep)"""
 ORACLES["tfidf_pairs"] = f"WITH {text_pairs('documents')} {COMPACT}"
+ORACLES["tfidf_links"] = f"""
+WITH {text_pairs('documents')},
+  n AS (SELECT id, count(*) AS n FROM (SELECT idx1 AS id FROM all_pairs UNION ALL SELECT idx2 FROM all_pairs) GROUP BY 1)
+SELECT d.doc_id AS id, coalesce(g.rep, d.doc_id) AS class_id, coalesce(n.n, 0) AS n_links
+FROM documents d LEFT JOIN grp g ON g.doc_id = d.doc_id LEFT JOIN n ON n.id = d.doc_id"""
+ORACLES["tfidf_later_rows"] = f"""
+WITH {text_pairs('documents')}
+SELECT min(idx1) AS idx1, idx2, round(max(similarity), 6) AS similarity FROM all_pairs GROUP BY idx2"""
+ORACLES["hashed_embedding_pairs"] = f"""
+WITH e AS (SELECT 2 * vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+  v AS (SELECT * FROM e UNION ALL SELECT id + 1, [floor(x * 16 + 0.5) / 16 for x in v] FROM e),
+  p AS (SELECT a.id AS idx1, b.id AS idx2,
+    list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) AS s
+    FROM v a JOIN v b ON a.id < b.id)
+SELECT idx1, idx2, round(s, 6) AS similarity FROM p WHERE s >= {ds.COARSE_THRESHOLD}"""
 ORACLES["pair_count"] = f"""
 WITH {text_pairs('documents')} SELECT count(*) AS n_pairs FROM all_pairs"""
 ORACLES["pair_preview"] = f"""
