@@ -128,7 +128,9 @@ def _terms_of(text: Column) -> Column:
 
 def _windows(found: DataFrame) -> DataFrame:
     """(entity, window, terms): what stands around each entity, once per document."""
-    cut = found.where(F.size("entities") > 0).withColumn("blank", _without_addresses(F.col("text"))).withColumn(
+    # No filter: it would be pushed below the matches and find them a second time.
+    some = F.size("entities") > 0
+    cut = found.withColumn("blank", F.when(some, _without_addresses(F.col("text")))).withColumn(
         "pieces", F.regexp_extract_all("blank", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).withColumn(
         "size", F.char_length("blank"))
 
