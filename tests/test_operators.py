@@ -356,3 +356,38 @@ def test_takeaways(spark):
     assert got["worst_after_repair"] == ("lower", 0.3) and got["accuracy_delta"][1] == pytest.approx(0.05)
     only = report.takeaways(metrics(("accuracy", "", 0.9, "original"))).collect()
     assert [r["takeaway"] for r in only] == ["baseline_only"]
+
+
+def test_chi_square_p_matches_known_values(spark):
+    # Upper tail points of printed tables, both parities, and a large number of degrees.
+    known = [(3.841458820694124, 1, 0.05), (0.0039321400000195, 1, 0.95), (5.991464547107979, 2, 0.05),
+             (7.814727903251179, 3, 0.05), (18.307038053275146, 10, 0.05), (24.99579013972863, 15, 0.05),
+             (0.0, 4, 1.0), (124.3421134004, 100, 0.05), (10.0, 0, None), (None, 3, None), (200.0, 1, 2.0884e-45)]
+    df = spark.createDataFrame([(c, n) for c, n, _ in known], "c double, n long")
+    got = [r["p"] for r in df.select(drift.chi_square_p(F.col("c"), F.col("n")).alias("p")).collect()]
+    for value, (_, _, want) in zip(got, known):
+        assert value == (want if want is None else pytest.approx(want, rel=1e-4, abs=1e-50))
+
+
+def test_many_labels_and_one_sided_tables(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("v"), (F.col("id") % 3 == 0).alias("is_current"))
+    got = drift.target_drift_test(df, "v").first()
+    assert got["dof"] == 19_999 and 0 <= got["p_value"] <= 1
+    lone = sides(spark, range(10), [])
+    features = drift.drift_features(lone, {"v": F.col("v")})
+    assert drift.psi(features).first()["psi"] is None
+    found = drift.ks_two_sample(features).first()
+    assert found["ks_distance"] is None and found["p_value"] is None
+    assert drift.target_drift_test(lone, "v").first()["chi_square"] is None
+    current = drift.drift_features(sides(spark, [], range(10)), {"v": F.col("v")})
+    assert drift.psi(current).first()["psi"] is None and drift.ks_two_sample(current).first()["p_value"] is None
+
+
+def test_auc_is_exact_with_ties(spark):
+    rng = np.random.default_rng(4)
+    scores, good = rng.integers(0, 5_000, 12_000) / 7, rng.random(12_000) < 0.3
+    df = spark.createDataFrame([(float(s), bool(g)) for s, g in zip(scores, good)] + [(None, True)], "s double, g boolean")
+    ordered = np.sort(scores[~good])
+    below = np.searchsorted(ordered, scores[good], "left") + np.searchsorted(ordered, scores[good], "right")
+    assert drift.exact_auc(df, "s", "g").first()["auc"] == pytest.approx(below.sum() / 2 / good.sum() / (~good).sum(), abs=1e-12)
+    assert drift.exact_auc(df.where("g"), "s", "g").first()["auc"] is None

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from textcheck.functions.ranks import as_features, exact_quantiles, flag_by_quota
+from textcheck.functions.ranks import as_features, exact_quantiles, flag_by_quota, largest_remainders, ranked
 from textcheck.operators import prepare
 from textcheck.sources import tables
 
@@ -57,11 +57,30 @@ def test_coerce_labels(spark):
         prepare.coerce_labels(spark.createDataFrame([("good",)], "l string"), "l").collect()
 
 
-def test_train_sizes_share_out_the_floor_of_the_total():
-    assert prepare.train_sizes({0: 58, 1: 341}, 0.8) == {0: 46, 1: 273}
-    assert prepare.train_sizes({"a": 1}, 0.8) == {"a": 0}
-    sizes = prepare.train_sizes({0: 3, 1: 3, 2: 3}, 0.8)
-    assert sum(sizes.values()) == 7 and set(sizes.values()) <= {2, 3}
+def shares(spark, sizes, frac=0.8):
+    kind = "string" if any(isinstance(k, str) for k in sizes) else "long"
+    frame = spark.createDataFrame(list(sizes.items()), f"group {kind}, n long")
+    return {r["group"]: r["take"] for r in largest_remainders(frame, frac).collect()}
+
+
+def test_quotas_share_out_the_floor_of_the_total(spark):
+    assert shares(spark, {0: 58, 1: 341}) == {0: 46, 1: 273}
+    assert shares(spark, {"a": 1}) == {"a": 0} and shares(spark, {"a": 1, None: 1}, 0.5) == {None: 1, "a": 0}
+    assert shares(spark, {0: 3, 1: 3, 2: 3}) == {0: 3, 1: 2, 2: 2}
+    assert largest_remainders(spark.createDataFrame([], "group long, n long"), 0.8).count() == 0
+
+
+def test_quotas_of_150_000_labels(spark):
+    df = spark.range(450_000).select("id", F.concat(F.lit("l"), F.col("id") % 150_000).alias("y"))
+    flagged = prepare.flag_train(df, "y", "id", 0.5)
+    per_label = flagged.groupBy("y").agg(F.count_if("is_train").alias("n"))
+    assert {tuple(r) for r in per_label.groupBy("n").count().collect()} == {(1, 75_000), (2, 75_000)}
+
+
+def test_ranks_are_places_in_the_order(spark):
+    df = spark.range(5_000).select((F.col("id") * 7919 % 5003).alias("v"))
+    got = {r["v"]: r["rank"] for r in ranked(df, "v").collect()}
+    assert got == {v: i + 1 for i, v in enumerate(sorted(got))}
 
 
 def test_split_is_exact_disjoint_and_independent_of_layout(spark):
@@ -76,7 +95,8 @@ def test_split_is_exact_disjoint_and_independent_of_layout(spark):
 def test_quota_matches_a_plain_sort(spark):
     from textcheck.functions.seeded import seeded_hash
     df = spark.range(500).withColumn("g", F.when(F.col("id") < 400, 1))
-    marked = flag_by_quota(df, "g", "id", 5, "m", lambda n: {1: 123, None: n[None]})
+    marked = flag_by_quota(df, "g", "id", 5, "m", lambda sizes: sizes.withColumn(
+        "take", F.when(F.col("group") == 1, 123).otherwise(F.col("n"))))
     got = {r["id"] for r in marked.filter("m AND g = 1").collect()}
     want = {r["id"] for r in df.filter("g = 1").orderBy(seeded_hash(5, F.col("id")), "id").limit(123).collect()}
     assert got == want and marked.filter("m AND g IS NULL").count() == 100

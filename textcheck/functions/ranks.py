@@ -1,7 +1,8 @@
-"""Ranks, quantiles and exact row quotas without a single-task window.
+"""Ranks, running totals, quantiles and exact row quotas without a single-task window.
 
-The shared idea: cut the ordered domain into buckets, count per bucket, and open
-a window only inside a bucket. Counts per bucket form a small table.
+The shared idea: rows are spread over partitions by ranges of the order, counted per partition,
+and a window opens only inside a partition; what comes before a partition is a sum over the few
+rows of a table with one row for each.
 """
 
 from __future__ import annotations
@@ -10,103 +11,29 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from textcheck.functions.seeded import HASH_BITS, seeded_hash
+from textcheck.session import materialise
 
 QUOTA_BITS = 16
-MAX_GROUPS = 100_000
-# Value buckets are found in two steps of STEP comparisons each.
-STEP = 16
 
 
-def flag_by_quota(df: DataFrame, group: str, id_col: str, seed: int, flag: str,
-                  quota: Callable[[dict], dict]) -> DataFrame:
-    """Mark an exact number of rows of every group, chosen by seeded hash.
-
-    ``quota`` turns {group: rows} into {group: rows to mark}; ids are unique. The
-    hash range is cut into 2**16 buckets. Bucket counts tell in which bucket a
-    group's quota ends, and only the rows of that bucket (about 1/65536 of the
-    group) are ranked. What comes out is one cut (hash, id) per group, so that
-    marking the rows is a comparison and moves no data. Groups are classes and
-    pass through the driver; MAX_GROUPS bounds them.
-    """
-    hashed = seeded_hash(seed, F.col(id_col))
-    slim = df.select(F.col(group).alias("_group"), F.col(id_col).alias("_id"),
-                     hashed.alias("_hash")).persist()
-    try:
-        found = slim.groupBy("_group").agg(F.count("*").alias("n")).limit(MAX_GROUPS + 1).collect()
-        if len(found) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} distinct values in {group!r}")
-        sizes = {row["_group"]: row["n"] for row in found}
-        takes = {key: take for key, take in quota(sizes).items() if take > 0}
-        part = {key: take for key, take in takes.items() if take < sizes[key]}
-        cuts = _cuts(slim, part) if part else {}
-    finally:
-        slim.unpersist()
-    rules = df.sparkSession.createDataFrame(
-        [(key, *cuts.get(key, (None, None)), key not in part) for key in takes],
-        T.StructType([
-            T.StructField("_group", df.schema[group].dataType),
-            T.StructField("_cut_hash", T.LongType()),
-            T.StructField("_cut_id", df.schema[id_col].dataType),
-            T.StructField("_whole", T.BooleanType())]))
-    chosen = F.col("_whole") | (hashed < F.col("_cut_hash")) | (
-        (hashed == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
-    return df.join(F.broadcast(rules), F.col(group).eqNullSafe(F.col("_group")), "left").select(
-        *df.columns, F.coalesce(chosen, F.lit(False)).alias(flag))
-
+def _spread(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Rows with ``_part``: the number of the range of ``order`` they lie in, written once, so that
+    all that follows sees the same ranges."""
+    return materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
 
-def _cuts(slim: DataFrame, takes: dict) -> dict:
-    """{group: (hash, id)} of the last row within each quota."""
-    limits = slim.sparkSession.createDataFrame(list(takes.items()), T.StructType([
-        T.StructField("_key", slim.schema["_group"].dataType),
-        T.StructField("_take", T.LongType())]))
-    bucketed = slim.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - QUOTA_BITS))
-    upto = Window.partitionBy("_group").orderBy("_bucket")
-    edges = (
-        bucketed.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(upto))
-        .join(F.broadcast(limits), F.col("_group").eqNullSafe(F.col("_key")))
-        .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
-        .select("_key", F.col("_bucket").alias("_edge"),
-                (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_left"))
-    )
-    order = Window.partitionBy("_group").orderBy("_hash", "_id")
-    # One edge per group.
-    last = bucketed.join(F.broadcast(edges), F.col("_group").eqNullSafe(F.col("_key"))
-                         & (F.col("_bucket") == F.col("_edge"))).withColumn(
-        "_rank", F.row_number().over(order)).filter(F.col("_rank") == F.col("_left"))
-    return {row["_group"]: (row["_hash"], row["_id"])
-            for row in last.select("_group", "_hash", "_id").collect()}
 
-
-def _bounds(values: DataFrame) -> DataFrame:
-    """Rough, evenly filled value cuts per feature: (feature, bounds, coarse).
-
-    One sketch pass; the result is STEP*STEP numbers per feature and is read
-    back so that every branch of a plan works with the very same cuts.
-    """
-    size = STEP * STEP
-    probs = [(i + 1) / (size + 1) for i in range(size)]
-    rows = values.groupBy("feature").agg(
-        F.percentile_approx("value", probs, 10 * size).alias("bounds")).collect()
-    data = [(r["feature"], list(map(float, r["bounds"])),
-             list(map(float, r["bounds"][STEP - 1::STEP]))) for r in rows if r["bounds"]]
-    schema = T.StructType([
-        T.StructField("feature", T.StringType()),
-        T.StructField("bounds", T.ArrayType(T.DoubleType())),
-        T.StructField("coarse", T.ArrayType(T.DoubleType())),
-    ])
-    return values.sparkSession.createDataFrame(data, schema)
-
-
-def _bucket(value: Column) -> Column:
-    """How many of the feature's bounds lie below ``value``."""
-    coarse = F.size(F.filter("coarse", lambda b: b < value))
-    fine = F.slice("bounds", coarse * STEP + 1, F.lit(STEP))
-    return coarse * STEP + F.size(F.filter(fine, lambda b: b < value))
+def ranked(df: DataFrame, *order: str | Column, name: str = "rank") -> DataFrame:
+    """Add the place of each row in ``order``, from 1; rows should differ in it."""
+    spread = _spread(df, *order)
+    # One row for each partition.
+    before = spread.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return spread.withColumn("_within", within).join(F.broadcast(before), "_part").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_within")).alias(name))
 
 
 def running_counts(values: DataFrame, count_cols: Sequence[str]) -> DataFrame:
@@ -116,34 +43,86 @@ def running_counts(values: DataFrame, count_cols: Sequence[str]) -> DataFrame:
     with equal values are added up first, so a value that fills a third of the
     table is one row afterwards. Adds ``<count>_upto`` and ``<count>_all``.
     """
-    bounds = F.broadcast(_bounds(values))
-    grouped = (
-        values.groupBy("feature", "value")
-        .agg(*[F.sum(c).cast("bigint").alias(c) for c in count_cols])
-        .join(bounds, "feature")
-        .withColumn("bucket", _bucket(F.col("value")))
-        .drop("bounds", "coarse")
-    )
-    per_bucket = grouped.groupBy("feature", "bucket").agg(
-        *[F.sum(c).alias(c) for c in count_cols])
-    earlier = Window.partitionBy("feature").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
+    grouped = _spread(values.groupBy("feature", "value").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in count_cols]), "feature", "value")
+    earlier = Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
-    offsets = per_bucket.select(
-        "feature", "bucket",
+    # One row for each partition, and one more for each feature that begins inside of one.
+    offsets = grouped.groupBy("feature", "_part").agg(*[F.sum(c).alias(c) for c in count_cols]).select(
+        "feature", "_part",
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in count_cols],
         *[F.sum(c).over(whole).alias(f"{c}_all") for c in count_cols])
-    inside = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(
+    inside = Window.partitionBy("feature", "_part").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0)
     running = grouped.select(
         "*", *[F.sum(c).over(inside).alias(f"{c}_in") for c in count_cols])
-    # At most STEP*STEP+1 rows per feature, and features are columns.
-    return running.join(F.broadcast(offsets), ["feature", "bucket"]).select(
+    return running.join(F.broadcast(offsets), ["feature", "_part"]).select(
         "feature", "value", *count_cols,
         *[(F.col(f"{c}_before") + F.col(f"{c}_in")).alias(f"{c}_upto") for c in count_cols],
         *[f"{c}_all" for c in count_cols])
 
 
+def largest_remainders(sizes: DataFrame, frac: float) -> DataFrame:
+    """(group, n, take): ``floor(frac * total)`` rows shared out in proportion to ``n``; what
+    rounding leaves over goes to the largest remainders, then null and the smallest groups."""
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
+    wanted = int(frac * total)
+    share = F.col("n") / F.lit(max(total, 1)) * F.lit(wanted)
+    shared = sizes.select("group", "n", F.floor(share).alias("whole"),
+                          (F.floor(share) - share).alias("short"))
+    shared = materialise(shared)
+    spare = wanted - (shared.agg(F.sum("whole")).first()[0] or 0)
+    return ranked(shared, "short", F.col("group").isNotNull(), "group").select(
+        "group", "n", (F.col("whole") + (F.col("rank") <= spare).cast("bigint")).alias("take"))
+
+
+def flag_by_quota(df: DataFrame, group: str, id_col: str, seed: int, flag: str,
+                  quota: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Mark an exact number of rows of every group, chosen by seeded hash.
+
+    ``quota`` turns (group, n) into (group, n, take); ids are unique, and there may be any number
+    of groups. The hash range is cut into 2**16 buckets. Bucket counts tell in which bucket a
+    group's quota ends, and only the rows of that bucket (about 1/65536 of the
+    group) are ranked. What comes out is one cut (hash, id) per group, so that
+    marking the rows is a comparison. Rules and edges are written first, so that Spark knows their
+    size: it broadcasts small ones, and splits the rows of a hot group where it has to shuffle.
+    """
+    hashed = seeded_hash(seed, F.col(id_col))
+    slim = materialise(df.select(F.col(group).alias("group"), F.col(id_col).alias("_id"),
+                                 hashed.alias("_hash")))
+    sizes = materialise(slim.groupBy("group").agg(F.count("*").alias("n")))
+    takes = materialise(quota(sizes).select("group", "n", F.col("take").cast("bigint").alias("take")))
+    part = takes.where("take > 0 AND take < n").select(F.col("group").alias("_key"), "take")
+    cuts = _cuts(slim, part)
+    same = F.col("_key").eqNullSafe(F.col("group"))
+    rules = materialise(takes.where("take > 0").join(cuts, same, "left").select(
+        F.col("group").alias("_group"), "_cut_hash", "_cut_id", (F.col("take") >= F.col("n")).alias("_whole")))
+    chosen = F.col("_whole") | (hashed < F.col("_cut_hash")) | (
+        (hashed == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
+    return df.join(rules, F.col(group).eqNullSafe(F.col("_group")), "left").select(
+        *df.columns, F.coalesce(chosen, F.lit(False)).alias(flag))
+
+
+def _cuts(slim: DataFrame, takes: DataFrame) -> DataFrame:
+    """(_key, _cut_hash, _cut_id): the last row within each quota."""
+    bucketed = slim.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - QUOTA_BITS))
+    upto = Window.partitionBy("group").orderBy("_bucket")
+    edges = materialise(
+        bucketed.groupBy("group", "_bucket").agg(F.count("*").alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(upto))
+        .join(takes, F.col("group").eqNullSafe(F.col("_key")))
+        .filter((F.col("_upto") >= F.col("take")) & (F.col("_upto") - F.col("_n") < F.col("take")))
+        .select("_key", F.col("_bucket").alias("_edge"),
+                (F.col("take") - F.col("_upto") + F.col("_n")).alias("_left"))
+    )
+    order = Window.partitionBy("_key").orderBy("_hash", "_id")
+    # One edge per group.
+    return bucketed.join(edges, F.col("group").eqNullSafe(F.col("_key"))
+                         & (F.col("_bucket") == F.col("_edge"))).withColumn(
+        "_rank", F.row_number().over(order)).filter(F.col("_rank") == F.col("_left")).select(
+        "_key", F.col("_hash").alias("_cut_hash"), F.col("_id").alias("_cut_id"))
+
+
 def exact_quantiles(values: DataFrame, probs: Sequence[float]) -> DataFrame:
     """(feature, quantiles): exact quantiles with linear interpolation."""
     counted = running_counts(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 from textcheck.constants import LONG_LABELS, SEED, SHORT_LABELS, TRAIN_FRACTION
 from textcheck.functions import text as tx
 from textcheck.functions.checks import require_columns
-from textcheck.functions.ranks import flag_by_quota
+from textcheck.functions.ranks import flag_by_quota, largest_remainders
 from textcheck.functions.seeded import seeded_hash
 from textcheck.session import materialise
 
@@ -80,27 +79,12 @@ def coerce_labels(df: DataFrame, label_col: str) -> DataFrame:
         label.isNull() | number.isNotNull(), number).otherwise(bad.cast("bigint")))
 
 
-def train_sizes(sizes: dict, train_frac: float) -> dict:
-    """Training rows per label: ``floor(frac * n)`` in all, shared in proportion;
-    what rounding leaves over goes to the largest remainders, then by label."""
-    total = sum(sizes.values())
-    wanted = math.floor(train_frac * total)
-    shares = {label: n / total * wanted for label, n in sizes.items()}
-    takes = {label: math.floor(share) for label, share in shares.items()}
-    spare = wanted - sum(takes.values())
-    by_remainder = sorted(sizes, key=lambda label: (
-        takes[label] - shares[label], label is not None, label))
-    for label in by_remainder[:spare]:
-        takes[label] += 1
-    return takes
-
-
 def flag_train(df: DataFrame, label_col: str, id_col: str,
                train_frac: float = TRAIN_FRACTION, seed: int = SEED) -> DataFrame:
     """Add ``is_train``: a seeded split with exact sizes per label."""
     require_columns(df, label_col, id_col)
     return flag_by_quota(df, label_col, id_col, seed, "is_train",
-                         lambda sizes: train_sizes(sizes, train_frac))
+                         lambda sizes: largest_remainders(sizes, train_frac))
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from textcheck.functions import text as tx
 from textcheck.functions.checks import require_columns
 from textcheck.functions.ranks import as_features, exact_quantiles
+from textcheck.session import materialise
 
 
 class Scorer(Protocol):
@@ -132,6 +133,8 @@ def bias_summary(scored: DataFrame, identity_columns: Sequence[str],
                  toxicity_col: str = "toxicity") -> DataFrame:
     """One row: rows scored, mean and exact 95th percentile of toxicity, maxima."""
     require_columns(scored, toxicity_col, *identity_columns)
+    # Scoring is the costly part: the scores are written once, the texts are not.
+    scored = materialise(scored.select(toxicity_col, *dict.fromkeys(identity_columns)))
     p95 = exact_quantiles(as_features(scored, {"toxicity": F.col(toxicity_col)}), [0.95])
     return scored.agg(
         F.count("*").alias("n_scored"), F.avg(toxicity_col).alias("toxicity_mean"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textcheck.constants import PERTURBATIONS
+from textcheck.functions import ranks
 from textcheck.operators import (classify, drift, explain, fairness, features, health, prepare,
                                  repair, report, robustness, scoring, similarity)
 from textcheck.plans import audit
@@ -485,6 +486,20 @@ def target_drift(spark, d):
     return drift.target_drift(_lang_sides(spark, d), "quality")
 
 
+@query
+def lexicon_auc(spark, d):
+    """How well the share of lexicon words tells good from poor documents."""
+    scored = ds.QUALITY.predict(ds.labelled(spark, d), "text")
+    return drift.exact_auc(scored.withColumn("good", F.col("quality") == 1), "y_prob", "good")
+
+
+@query
+def label_quotas(spark, d):
+    """Training share of every supplier's line items: many small groups."""
+    sizes = ds.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("group")).agg(F.count("*").alias("n"))
+    return ranks.largest_remainders(sizes, 0.8)
+
+
 @query
 def target_drift_test(spark, d):
     return drift.target_drift_test(_lang_sides(spark, d), "quality")

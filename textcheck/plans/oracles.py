@@ -483,6 +483,23 @@ WITH {LABELLED}, o AS (SELECT quality, is_en, count(*) AS n FROM labelled GROUP
     FROM (SELECT DISTINCT quality FROM o) q CROSS JOIN (SELECT DISTINCT is_en FROM o) s
     LEFT JOIN o ON o.quality = q.quality AND o.is_en = s.is_en)
 SELECT round(sum((n - e) * (n - e) / e), 6) AS chi_square, count(DISTINCT quality) - 1 AS dof FROM g"""
+# Lower tail of the gamma function by its power series, from logarithms.
+ORACLES["target_drift_test"] = f"""
+WITH t AS ({ORACLES['target_drift']}), x AS (SELECT *, dof / 2 AS a, chi_square / 2 AS x FROM t)
+SELECT chi_square, dof, round(1 - (SELECT sum(exp((a + k) * ln(x) - x - lgamma(a + k + 1)))
+  FROM generate_series(0, 2000) s(k)), 6) AS p_value FROM x"""
+ORACLES["lexicon_auc"] = f"""
+WITH {PREDICTIONS}, g AS (SELECT y_prob, quality = 1 AS good FROM predicted),
+  r AS (SELECT good, rank() OVER (ORDER BY y_prob) + (count(*) OVER (PARTITION BY y_prob) - 1) / 2 AS r FROM g)
+SELECT round((sum(r) FILTER (good) - (count(*) FILTER (good)) * ((count(*) FILTER (good)) + 1) / 2)
+  / ((count(*) FILTER (good)) * (count(*) FILTER (NOT good))), 6) AS auc FROM r"""
+ORACLES["label_quotas"] = """
+WITH s AS (SELECT l_suppkey AS "group", count(*) AS n FROM lineitem GROUP BY 1),
+  w AS (SELECT *, floor(0.8 * (SELECT sum(n) FROM s)) AS wanted, (SELECT sum(n) FROM s) AS total FROM s),
+  q AS (SELECT *, n::DOUBLE / total * wanted AS share FROM w),
+  r AS (SELECT *, row_number() OVER (ORDER BY floor(share) - share, "group") AS place,
+    wanted - (SELECT sum(floor(share)) FROM q) AS spare FROM q)
+SELECT "group", n, (floor(share) + CASE WHEN place <= spare THEN 1 ELSE 0 END)::BIGINT AS take FROM r"""
 ORACLES["target_share"] = f"""
 WITH {LABELLED}, m AS (SELECT avg(quality) FILTER (is_en = 1) AS reference,
   avg(quality) FILTER (is_en = 0) AS current FROM labelled)
