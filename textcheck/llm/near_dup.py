@@ -112,35 +112,50 @@ def _set_rows(words: int, lower_ascii: bool):
     return run
 
 
+def _near_signatures(table: pa.Table, numerator: int, denominator: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Per row of two blocks the rows of larger label that its signature and size do not rule out."""
+    labels, blocks, sizes = (table.column(c).to_numpy() for c in ("label", "block", "n_shingles"))
+    signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16)
+    signatures = signatures.reshape(table.num_rows, CHUNKS * WIDTH)
+    two = blocks.min() != blocks.max()
+    for i in range(table.num_rows):
+        near = (labels > labels[i]) & (denominator * np.minimum(sizes, sizes[i])
+                                       >= numerator * np.maximum(sizes, sizes[i]))
+        if two:
+            near &= blocks != blocks[i]
+        others = np.flatnonzero(near)
+        if len(others):
+            distance = (signatures[others] != signatures[i]).sum(axis=1)
+            others = others[distance <= MAX_DISTANCE]
+            if len(others):
+                yield i, others
+
+
+def _block_candidates(numerator: int, denominator: int):
+    """applyInArrow function: the rows of two blocks that have a partner by their signatures."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [np.append(others, i) for i, others in _near_signatures(table, numerator, denominator)]
+        at = pa.array(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64))
+        return pa.table({"job": table.column("job").take(at), "node": table.column("node").take(at)})
+
+    return run
+
+
 def _block_links(numerator: int, denominator: int):
     """applyInArrow function: links between the rows of two blocks that carry other labels."""
 
     def run(table: pa.Table) -> pa.Table:
         labels = table.column("label").to_numpy()
-        nodes = table.column("node").to_numpy()
-        blocks = table.column("block").to_numpy()
-        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16)
-        signatures = signatures.reshape(len(nodes), CHUNKS * WIDTH)
         members = [np.asarray(x.values) for x in table.column("members")]
-        sizes = np.array([len(x) for x in members], dtype=np.int64)
-        two = blocks.min() != blocks.max()
-        found: list[tuple[int, int]] = []
-        for i in range(len(nodes)):
-            near = (labels > labels[i]) & (denominator * np.minimum(sizes, sizes[i])
-                                           >= numerator * np.maximum(sizes, sizes[i]))
-            if two:
-                near &= blocks != blocks[i]
-            others = np.flatnonzero(near)
-            if not len(others):
-                continue
-            distance = (signatures[others] != signatures[i]).sum(axis=1)
-            for j in others[distance <= MAX_DISTANCE]:
+        found: set[tuple[int, int]] = set()
+        for i, others in _near_signatures(table, numerator, denominator):
+            for j in others:
                 same = len(np.intersect1d(members[i], members[j], assume_unique=True))
-                if denominator * same >= numerator * (sizes[i] + sizes[j] - same):
-                    found.append((labels[i], labels[j]))
-        found = sorted(set(found))
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()),
-                         "b": pa.array([x for _, x in found], pa.int64())})
+                if denominator * same >= numerator * (len(members[i]) + len(members[j]) - same):
+                    found.add((labels[i], labels[j]))
+        return pa.table({"a": pa.array([x for x, _ in sorted(found)], pa.int64()),
+                         "b": pa.array([x for _, x in sorted(found)], pa.int64())})
 
     return run
 
@@ -158,7 +173,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
        In each key, all are compared with the first node; the verified links give first labels.
     3. Keys that still hold several labels are settled exactly: their classes are dealt into
        blocks by hash, each class goes to the pairs of blocks in which it has a partner with
-       another label, and each pair of blocks compares signatures, then full sets. Only links
+       another label, and each pair of blocks compares signatures, then the full sets of those
+       that are near. Only links
        between labels are put out, so that no group of copies is expanded into its pairs.
 
     Null, empty or blank texts have no shingles: they link with nothing and are kept. Rows that
@@ -235,6 +251,26 @@ def _cross_links(met: DataFrame, first: DataFrame, classes: DataFrame, sets: Dat
             .select("node", "label", "block",
                     (F.least("block", "partner").cast("long") * n_blocks
                      + F.greatest("block", "partner")).alias("job")))
-    full = jobs.join(sets, "node").join(classes.select("node", "signature"), "node")
+    signed = materialise(jobs.join(classes.select("node", "n_shingles", "signature"), "node"))
+    # Signatures first: the full sets, many times larger, go only where a partner is possible.
+    possible = materialise(signed.groupBy("job").applyInArrow(
+        _block_candidates(numerator, denominator), "job long, node long"))
+    full = signed.join(possible, ["job", "node"]).join(sets, "node")
     return materialise(full.groupBy("job").applyInArrow(
         _block_links(numerator, denominator), "a long, b long").distinct())
+
+
+def without_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
+
+    Rows are told apart by a number of their own, so rows that share an id, or have none, are
+    judged each by its text; of rows with the same text and id one stays. Null ids go first.
+    """
+    rows = materialise(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source"), F.col(f"`{text}`").alias("text"),
+        F.col(f"`{doc_id}`").alias("id"), F.monotonically_increasing_id().alias("row")))
+    found = materialise(near_duplicates(rows, "text", "row", **how).select(F.col("doc_id").alias("row"), "component_id"))
+    first = found.join(rows.select("row", "id"), "row").groupBy("component_id").agg(
+        F.min(F.struct("id", "row")).alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(materialise(first), "row", "left_semi").select(
+        *[F.col("source").getField(c).alias(c) for c in docs.columns])
