@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textcheck.llm.words import (
-    WordHasher, raw_bytes, run_hashes, text_slices, window_positions,
+    WordHasher, mix, raw_bytes, run_hashes, text_slices, window_positions,
 )
 from textcheck.session import materialise
 
@@ -70,183 +70,146 @@ def _key_rows(shared: int, window: int):
     return run
 
 
-def _context_rows(shared: int, window: int):
-    """The retained suffixes at wanted positions, with the words around the shared run.
+def _wanted(batch: pa.RecordBatch, owner: np.ndarray, position: np.ndarray, column: str) -> np.ndarray:
+    """Which of the positions are listed in ``column`` of their rows."""
+    wanted = batch.column(column)
+    pairs = (np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets))) << 32) | np.asarray(
+        wanted.flatten()).astype(np.int64)
+    return np.isin((owner << 32) | position, pairs)
 
-    ``after`` and ``before`` hold 4 bytes for each of up to window - 1 words, nearest first;
-    big-endian, so that the order of the bytes is the order of the suffixes.
-    """
+
+def _region_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words of any lengths: differences of sums with an odd base, shifted back."""
+    base = np.full(len(words) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    inverse = np.full(len(words) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64)
+    base[0] = inverse[0] = 1
+    power, back = np.cumprod(base), np.cumprod(inverse)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[:-1], out=total[1:])
+    return mix((total[stop] - total[start]) * back[start] + (stop - start).astype(np.uint64))
+
+
+def _context_rows(shared: int, window: int):
+    """mapInArrow function: the retained suffixes at wanted positions with the hash ``context`` of
+    the words from ``before`` ahead of the shared run to ``after`` behind it, window - 1 at most."""
     reach = window - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suffixes = _Suffixes(shared, window)
         for batch, texts in text_slices(batches, "text"):
             hashes, _, _, firsts, per_text, owner, position, keys = suffixes.of(texts)
-            wanted = batch.column("positions")
-            lengths = np.diff(np.asarray(wanted.offsets))
-            pairs = (np.repeat(np.arange(batch.num_rows), lengths) << 32) | np.asarray(
-                wanted.flatten()).astype(np.int64)
-            pick = np.isin((owner << 32) | position, pairs)
+            pick = _wanted(batch, owner, position, "positions")
             owner, position, keys = owner[pick], position[pick], keys[pick]
-            short = (hashes >> np.uint64(32)).astype(">u4")
-            here, text_end = firsts[owner] + position, firsts[owner] + per_text[owner]
-            right_end = np.minimum(here + shared + reach, text_end)
-            left_start = np.maximum(here - reach, firsts[owner])
-            after = [short[a:b].tobytes() for a, b in zip(here + shared, right_end)]
-            before = [short[a:b][::-1].tobytes() for a, b in zip(left_start, here)]
+            here = firsts[owner] + position
+            before = np.minimum(position, reach)
+            after = np.minimum(per_text[owner] - position - shared, reach)
+            context = _region_hashes(hashes, here - before, here + shared + after)
+            context = mix(context + mix((before * window + after).astype(np.uint64)))
+            taken = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(pa.array(owner)), batch.column("doc_id").take(pa.array(owner)),
+                [*(batch.column(c).take(taken) for c in ("row", "doc_id", "digest")),
                  pa.array(position.astype(np.int32)), pa.array(keys.view(np.int64)),
-                 pa.array(after, pa.binary()), pa.array(before, pa.binary())],
-                ["row", "doc_id", "position", "key", "after", "before"])
+                 pa.array(context.view(np.int64)), pa.array(before.astype(np.int32)),
+                 pa.array(after.astype(np.int32))],
+                ["row", "doc_id", "digest", "position", "key", "context", "before", "after"])
 
     return run
 
 
-def _common(a: list[bytes], b: list[bytes], reach: int) -> np.ndarray:
-    """Number of equal leading words of each pair of contexts."""
-    width = 4 * reach
-    if not a:
-        return np.zeros(0, np.int64)
-    words = [np.frombuffer(b"".join(x.ljust(width, b"\0") for x in side), np.uint32).reshape(-1, reach)
-             for side in (a, b)]
-    lengths = np.minimum([len(x) // 4 for x in a], [len(x) // 4 for x in b])
-    differs = words[0] != words[1]
-    equal = np.where(differs.any(axis=1), differs.argmax(axis=1), reach)
-    return np.minimum(equal, lengths)
-
-
-SUFFIX = ("row", "doc_id", "position", "key", "after", "before")
-SUFFIX_KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-SPAN = ("row", "doc_id", "first_word", "last_word", "repeats", "other_doc_id")
-SPAN_KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
-SPAN_SCHEMA = ("row long, doc_id long, first_word int, last_word int, repeats boolean, "
-               "other_doc_id long")
-
-
-def _matches(early: dict, late: dict, shared: int, reach: int, least: int,
-             both: bool) -> list[tuple]:
-    """Extend aligned pairs of suffixes with equal keys; long enough ones give spans.
-
-    The span of the later suffix repeats an earlier one; with ``both``, the earlier
-    suffix gets its span too.
-    """
-    ahead = _common(early["after"], late["after"], reach)
-    back = _common(early["before"], late["before"], reach)
-    spans = []
-    for i in np.flatnonzero(ahead + back + shared >= least):
-        for mine, other, repeats in ((late, early, True), (early, late, False))[:1 + both]:
-            at = mine["position"][i]
-            spans.append((mine["row"][i], mine["doc_id"][i], at - back[i], at + shared + ahead[i],
-                          repeats, other["doc_id"][i]))
-    return spans
-
-
-def _batch(rows: list[tuple], names: tuple, kinds: tuple) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(names))
-
-
-def _neighbour_rows(shared: int, reach: int, least: int):
-    """mapInArrow function over sorted partitions: compare each suffix with its neighbour.
-
-    Suffixes with the same first words lie together, in the order of documents. Each is
-    compared with the one before it, and with the first of its run. The first and the last
-    suffix of a partition are put out as edges, for the comparison across partitions.
-    """
-    names = (*SPAN, "part", "side", *(f"edge_{c}" for c in SUFFIX))
-    kinds = (*SPAN_KINDS, pa.int32(), pa.int32(), *SUFFIX_KINDS)
-    no_span, no_edge = (None,) * len(SPAN), (None,) * (2 + len(SUFFIX))
+def _start_rows(shared: int, least: int):
+    """mapInArrow function: for the wanted suffixes each start (``back`` words before the position)
+    from which ``least`` words hold the shared run, and the hash of these words."""
+    reach = least - shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        last = leader = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = {c: batch.column(c).to_pylist() for c in SUFFIX}
-            if last is None:
-                edge = (part, 0, *(columns[c][0] for c in SUFFIX))
-                yield _batch([no_span + edge], names, kinds)
-            else:
-                columns = {c: [leader[c], last[c], *columns[c]] for c in SUFFIX}
-            keys = columns["key"]
-            # The first entries are the leader and the last suffix of the batch before.
-            offset = 0 if last is None else 2
-            leaders = list(range(len(keys)))
-            for i in range(1, len(keys)):
-                if keys[i] == keys[i - 1]:
-                    leaders[i] = leaders[i - 1]
-            fresh = range(max(offset, 1), len(keys))
-            next_to = [i for i in fresh if keys[i] == keys[i - 1]]
-            to_leader = [i for i in next_to if leaders[i] != i - 1]
-            pick = lambda at: {c: [columns[c][i] for i in at] for c in SUFFIX}
-            spans = _matches(pick([i - 1 for i in next_to]), pick(next_to), shared, reach, least, True)
-            spans += _matches(pick([leaders[i] for i in to_leader]), pick(to_leader), shared, reach,
-                              least, False)
-            yield _batch([span + no_edge for span in spans], names, kinds)
-            last = {c: columns[c][-1] for c in SUFFIX}
-            leader = {c: columns[c][leaders[-1]] for c in SUFFIX}
-        if last is not None:
-            yield _batch([no_span + (part, 1, *(last[c] for c in SUFFIX))], names, kinds)
-
-    schema = SPAN_SCHEMA + (", part int, side int, edge_row long, edge_doc_id long, "
-                            "edge_position int, edge_key long, edge_after binary, edge_before binary")
-    return run, schema
-
-
-def _pair_rows(shared: int, reach: int, least: int):
-    """mapInArrow function: compare an earlier suffix with a later one (``next_`` names)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            early = {c: batch.column(f"edge_{c}").to_pylist() for c in SUFFIX}
-            late = {c: batch.column(f"next_{c}").to_pylist() for c in SUFFIX}
-            yield _batch(_matches(early, late, shared, reach, least, True), SPAN, SPAN_KINDS)
+        hasher = WordHasher()
+        for batch, texts in text_slices(batches, "text"):
+            hashes, _, _, per_text = hasher.words(texts)
+            firsts = np.cumsum(per_text) - per_text
+            wanted = batch.column("positions")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets)))
+            position = np.asarray(wanted.flatten()).astype(np.int64)
+            back = np.tile(np.arange(reach + 1), len(owner))
+            owner, position = np.repeat(owner, reach + 1), np.repeat(position, reach + 1)
+            inside = (position >= back) & (position - back + least <= per_text[owner])
+            owner, position, back = owner[inside], position[inside], back[inside]
+            words = run_hashes(hashes, least)[firsts[owner] + position - back]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row").take(pa.array(owner)), pa.array(position.astype(np.int32)),
+                 pa.array(back.astype(np.int32)), pa.array(words.view(np.int64))],
+                ["row", "position", "back", "words"])
 
     return run
 
 
-def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Id, text and a key that tells rows apart; rows equal in both count as one."""
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn(
-        "row", F.xxhash64("doc_id", "text"))
+def _rows(docs: DataFrame, text: str, doc_id: str, *more: Column) -> DataFrame:
+    """Id, text, its hash and a number for each row. Written, as the numbers must not change."""
+    return materialise(docs.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"),
+        F.xxhash64(f"`{text}`").alias("digest"), F.monotonically_increasing_id().alias("row"), *more))
 
 
 def _spans(rows: DataFrame, least: int) -> DataFrame:
-    """Spans of matches of at least ``least`` words, from neighbours in the sparse suffix array.
+    """(row, doc_id, first_word, last_word, repeats, other_doc_id): runs of ``least`` or more words
+    that occur again, each around one retained suffix.
 
     The key of a suffix is its first ``least // 2`` words; of each window of keys the smallest
-    is retained, with windows so wide that every run of ``least`` words retains one.
+    is retained, with windows so wide that every run of ``least`` words retains one. Suffixes
+    whose keys repeat form classes by the words around the shared run, so that copies are one
+    class. Classes that meet in a key are extended left to every start from which ``least`` words
+    hold the run; sorted by these words, neighbours that agree are matches. A class that has its
+    key alone matches in itself. Occurrences are ordered by doc_id, text hash, row and place.
     """
     shared = least // 2
-    window = least - shared + 1
-    reach = window - 1
+    reach = least - shared
+    window = reach + 1
     keys = rows.select("row", "text").mapInArrow(_key_rows(shared, window), "row long, position int, key long")
     repeated = materialise(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     positions = materialise(
         keys.join(repeated, "key").groupBy("row").agg(F.collect_set("position").alias("positions")))
-    suffixes = rows.join(positions, "row").mapInArrow(
+    suffixes = materialise(rows.select("row", "doc_id", "digest", "text").join(positions, "row").mapInArrow(
         _context_rows(shared, window),
-        "row long, doc_id long, position int, key long, after binary, before binary")
-    order = ["key", "doc_id", "row", "position"]
-    compare, schema = _neighbour_rows(shared, reach, least)
-    compared = materialise(suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-                           .mapInArrow(compare, schema))
-    within = compared.where("part is null").select(*SPAN)
-    edges = compared.where("part is not null").select("part", "side", *(f"edge_{c}" for c in SUFFIX))
-    # Two rows for each partition: the last suffix of one meets the first of the next.
-    numbered = edges.select("part").distinct().withColumn(
-        "after_part", F.lead("part").over(Window.orderBy("part")))
-    heads = edges.where("side = 0").select(
-        F.col("part").alias("after_part"), *(F.col(f"edge_{c}").alias(f"next_{c}") for c in SUFFIX))
-    across = (edges.where("side = 1").join(numbered, "part").join(heads, "after_part")
-              .where("edge_key = next_key")
-              .mapInArrow(_pair_rows(shared, reach, least), SPAN_SCHEMA))
-    return materialise(within.union(across).groupBy(
-        "row", "doc_id", "first_word", "last_word", "repeats").agg(F.min("other_doc_id").alias("other_doc_id")))
+        "row long, doc_id long, digest long, position int, key long, context long, before int, after int"))
+    place = F.struct("doc_id", "digest", "row", "position")
+    classes = materialise(suffixes.groupBy("context", "key", "before", "after").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")))
+    met = materialise(classes.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1").select("key"))
+    # Classes that meet others: their starts, from one occurrence of each.
+    meeting = materialise(classes.join(met, "key", "left_semi"))
+    wanted = materialise(meeting.groupBy(F.col("first.row").alias("row")).agg(
+        F.collect_set("first.position").alias("positions")))
+    starts = rows.select("row", "text").join(wanted, "row").mapInArrow(
+        _start_rows(shared, least), "row long, position int, back int, words long")
+    held = materialise(starts.join(
+        meeting.select("context", "first", "last", "n", F.col("first.row").alias("row"),
+                       F.col("first.position").alias("position")), ["row", "position"]))
+
+    def start_of(end: str) -> Column:
+        return F.struct(F.col(f"{end}.doc_id").alias("doc_id"), F.col(f"{end}.digest").alias("digest"),
+                        F.col(f"{end}.row").alias("row"), (F.col(f"{end}.position") - F.col("back")).alias("start"))
+
+    # A run that holds several retained suffixes is looked at from each, told apart by ``back``.
+    again = materialise(held.groupBy("words", "back").agg(
+        F.min(start_of("first")).alias("first"), F.max(start_of("last")).alias("last"),
+        F.sum("n").alias("n")).where("n > 1").select("words", "back", "first", "last"))
+    by_start = held.select("context", "back", "words").join(again, ["words", "back"]).groupBy(
+        "context", F.col("first.row").alias("first_row"), (F.col("first.start") + F.col("back")).alias("first_position"),
+        F.col("first.doc_id").alias("first_doc"), F.col("last.doc_id").alias("last_doc")).agg(
+        F.array_sort(F.collect_set("back")).alias("backs"))
+    # Within a class of its own key, all starts repeat from the class's first occurrence.
+    alone = classes.join(met, "key", "left_anti").where("n > 1").select(
+        "context", F.col("first.row").alias("first_row"), F.col("first.position").alias("first_position"),
+        F.col("first.doc_id").alias("first_doc"), F.col("last.doc_id").alias("last_doc"),
+        F.when(F.col("before") >= F.greatest(F.lit(0), reach - F.col("after")), F.sequence(
+            F.greatest(F.lit(0), reach - F.col("after")), F.col("before"))).alias("backs"))
+    matched = materialise(by_start.unionByName(alone.where("backs IS NOT NULL")))
+    found = suffixes.select("row", "doc_id", "position", "context").join(matched, "context").select(
+        "row", "doc_id", "position", "first_doc", "last_doc",
+        ((F.col("row") != F.col("first_row")) | (F.col("position") != F.col("first_position"))).alias("repeats"),
+        F.explode("backs").alias("back"))
+    start = F.col("position") - F.col("back")
+    return found.groupBy("row", "doc_id", start.alias("first_word"), (start + least).alias("last_word"), "repeats").agg(
+        F.min(F.when(F.col("repeats"), F.col("first_doc")).otherwise(F.col("last_doc"))).alias("other_doc_id"))
 
 
 def _islands(spans: DataFrame) -> DataFrame:
@@ -266,14 +229,14 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     """One row per passage of ``least_words`` or more words that occurs elsewhere, too.
 
     Columns: doc_id, first_word (from 0), n_words, duplicate (it repeats, at least in part, an
-    occurrence that comes earlier by doc_id and position), other_doc_id (the smallest document
-    it was compared with). Words are runs without white space, compared letter for letter; a
-    document can also repeat itself. Null, empty and short texts have no passages. Rows equal
-    in id and text count as one; null ids come first. ``docs`` may hold any other columns.
-
-    Retained suffixes are sorted by their first words, then by document. Each is compared with
-    its neighbour and with the first of its run and extended both ways; spans that overlap are
-    joined. A passage that all its documents hold in full is found in each of them.
+    occurrence that comes earlier by doc_id and position), other_doc_id (the document of the
+    earliest occurrence of any part of it or, for the earliest itself, of the last one). Words are
+    runs without white space, told apart by 64-bit hashes; a document can also repeat itself.
+    Null, empty and short texts have no passages. Each row counts, also one equal to another: the
+    later repeats the earlier. Null ids come first. ``docs`` may hold any other columns.
+
+    Every run of ``least_words`` that occurs twice is found, however the table is dealt out; runs
+    of a text that overlap or touch are joined (see ``_spans``).
     """
     return _islands(_spans(_rows(docs, text, doc_id), least_words)).select(
         "doc_id", "first_word", (F.col("last_word") - F.col("first_word")).alias("n_words"),
@@ -288,15 +251,12 @@ def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "d
     of characters. A text with nothing but repeats goes with its row. Every cut word remains in
     an occurrence that comes earlier by doc_id and position.
     """
-    rows = _rows(docs, text, doc_id)
+    kept = [f for f in docs.schema.fields]
+    rows = _rows(docs, text, doc_id, F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("source"))
     spans = _spans(rows, least_words).where("repeats")
     cuts = materialise(_islands(spans).groupBy("row").agg(F.sort_array(F.collect_list(
         F.struct("first_word", "last_word"))).alias("cuts")))
-    kept = [f for f in docs.schema.fields]
-    packed = docs.select(
-        F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("source"),
-        F.col(f"`{text}`").alias("text"),
-        F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")).alias("row"))
+    packed = rows.select("source", "text", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
