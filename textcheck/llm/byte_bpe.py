@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text bytes whose distinct words are folded together, as one row.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 #: Buckets of the literal rank map: a look-up reads one small map.
 BUCKETS = 1 << 15
 #: Longer words are merged with a heap (n log n), as a fold over n pieces has n * n steps.
