@@ -18,7 +18,9 @@ import __spark_entry__
 import corpus_pipeline
 from textcheck.llm import queries
 from textcheck.llm.byte_bpe import load_ranks
-from textcheck.llm.suffix_dedup import drop_repeated_passages
+from textcheck.llm.suffix_dedup import drop_repeated_passages, repeated_passages
+from textcheck.llm.token_cache import ChunkEncoder
+from textcheck.llm.token_files import read_token_files, write_token_files
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, words string, part long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -187,6 +189,131 @@ def test_repeated_passages(spark, folder, texts):
         assert {k for a, b in spans[i] for k in range(a, b)} == repeated
 
 
+def _passages(table):
+    """Per row (id, first word, last word, repeats) by all windows of 50 words, earliest by id."""
+    places = defaultdict(list)
+    for i, text in table:
+        words = (text or "").split()
+        for k in range(len(words) - 49):
+            places[tuple(words[k:k + 50])].append((i, k))
+    spans = defaultdict(set)
+    for at in places.values():
+        for i, k in sorted(at)[1:] if len(at) > 1 else ():
+            spans[i].update((x, True) for x in range(k, k + 50))
+        if len(at) > 1:
+            spans[min(at)[0]].update((x, False) for x in range(min(at)[1], min(at)[1] + 50))
+    return spans
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 40])
+def test_passages_with_shared_beginnings_and_ends(spark, partitions):
+    """Blocks of 25 to 49 words that many share, some of them longer on either side."""
+    rng = random.Random(11)
+
+    def words(n):
+        return [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+
+    table, number = [], 0
+    for core in (25, 30, 45, 49):
+        block = words(core)
+        left, right = words(30), words(30)
+        for k in range(12):
+            back, ahead = rng.choice([(0, 0), (8, 0), (0, 8), (50 - core, 0), (0, 50 - core), (30, 30), (3, 50 - core)])
+            body = words(20) + left[len(left) - back:] + block + right[:ahead] + words(20)
+            table.append((number, " ".join(body)))
+            number += 1
+    table += [(number, " ".join(words(70))), (number + 1, "a b c d e f g " * 20)]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(partitions)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = defaultdict(set)
+        for r in repeated_passages(docs).collect():
+            found[r.doc_id].update(range(r.first_word, r.first_word + r.n_words))
+            repeats = {x for x, again in _passages(table)[r.doc_id] if again}
+            assert r.duplicate == any(x in repeats for x in range(r.first_word, r.first_word + r.n_words))
+        assert found == {i: {x for x, _ in s} for i, s in _passages(table).items()}
+        kept = {r.doc_id: r.text.split() for r in drop_repeated_passages(docs).collect()}
+        for i, text in table:
+            gone = {x for x, again in _passages(table)[i] if again}
+            left = [w for x, w in enumerate(text.split()) if x not in gone]
+            assert kept.get(i, []) == left
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, _lang_pred string, `a.b` int, score int")
+
+
+def test_repeated_rows_leave_one(spark):
+    rng = random.Random(3)
+    long, other = (" ".join(f"x{rng.randrange(9 ** 9)}" for _ in range(60)) for _ in range(2))
+    rows = [(7, long, "a", "u", 1, 1), (7, long, "a", "u", 1, 1), (None, other, "b", "u", 2, 2), (None, other, "b", "v", 3, 3),
+            (7, "short one", "a", "u", 4, 4), (7, "short one", "a", "u", 4, 4), (None, None, None, None, None, None)]
+    kept = drop_repeated_passages(_rows(spark, rows)).collect()
+    assert Counter(r.text for r in kept) == {long: 1, other: 1, "short one": 2, None: 1}
+    assert sum(r.duplicate for r in repeated_passages(_rows(spark, rows)).collect()) == 2
+
+
+def test_near_duplicate_stage_judges_rows_not_ids(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(3, b, "x", "u", 1, 1), (7, a, "x", "u", 2, 2), (7, b, "x", "u", 3, 3), (None, "lone text of five words", "x", "u", 4, 4),
+            (None, None, "x", "u", 5, 5), (None, None, "x", "u", 5, 5), (9, a, "x", "u", 6, 6)]
+    frame = _rows(spark, rows)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == {
+        (3, b): 1, (7, a): 1, (None, "lone text of five words"): 1, (None, None): 2}
+
+
+def test_language_stage_keeps_columns_of_its_own_names(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns(
+        {"_lang_pred": F.lit("mine"), "score": F.lit(5), "a.b": F.lit(1)})
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() > 0
+    assert {(r["_lang_pred"], r["score"], r["a.b"]) for r in kept.collect()} == {("mine", 5, 1)}
+    sure = {r.doc_id for r in queries.op10_language_id(spark, folder).where("lang_pred <> 'und' AND score >= 0.5").collect()}
+    assert {r.doc_id for r in kept.collect()} == sure
+
+
+def test_quality_stage_follows_the_verdicts(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.apply_quality_rules(spark, docs, "").collect()}
+    assert kept == {r.doc_id for r in queries.op9_quality_rules(spark, folder).where("kept").collect()}
+
+
+def test_token_ids_are_the_librarys_in_any_script():
+    rng = random.Random(17)
+    bits = ["A", "É", "é", "ß", "İ", "\u212a", "ſ", "ς", "Σ", "Paris", "“", "”", "—", "€", "ª", "µ", "÷", "\u0301", "漢", "Москва", "😀",
+            "'s", "'", "n't", "3", "42", ".", ",", "<|endoftext|>", "<|", " ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u2028", "\x85",
+            "ÿ", "Ÿ", "ﬁ", "\u212b", "ǅ", "\u200d", "ا", "각"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(12_000)]
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 0x250), rng.randrange(0x250, 0x3000), 32, 10]))
+                      for _ in range(rng.randint(0, 20))) for _ in range(8_000)]
+    tokenizer, encoder = Tokenizer.from_file(queries.WORD_BPE), ChunkEncoder(queries.WORD_BPE)
+    assert encoder.plain
+    for ids, want in zip(encoder.encode(texts), tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert list(struct.unpack(f"<{len(ids) // 2}H", ids)) == want.ids
+
+
+def test_token_files_give_single_documents(spark, folder, texts, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    again = docs.unionByName(docs.where("doc_id IN (5, 11)")).unionByName(
+        docs.where("doc_id = 9").withColumn("doc_id", F.lit(None).cast("long")))
+    path = str(tmp_path / "files")
+    write_token_files(again, path, queries.WORD_BPE)
+    assert len(spark.read.parquet(f"{path}/dictionary").first()["dictionary"]) > 0
+    found = read_token_files(spark, path, [5, 11, 40]).collect()
+    assert Counter(r.doc_id for r in found) == {5: 2, 11: 2, **({40: 1} if 40 in texts else {})}
+    assert all(bytes(r.ids) == _pack(_word_ids(texts[r.doc_id])) for r in found)
+    everything = sorted(read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert len(everything) == len(texts) + 3 and everything[0].doc_id is None
+    at = 0
+    for r in everything:
+        assert r.start == at
+        at += r.n_tokens
+
+
 def test_cut_passages_leave_the_first(spark, folder, texts):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = {r.doc_id: r.text for r in drop_repeated_passages(docs).collect()}
