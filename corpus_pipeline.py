@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textcheck.llm import language_id
-from textcheck.llm.near_dup import near_duplicates
+from textcheck.llm.near_dup import without_near_duplicates
 from textcheck.llm.packing import pack_documents
 from textcheck.llm.quality_rules import keep_good
 from textcheck.llm.suffix_dedup import drop_repeated_passages
@@ -20,9 +20,10 @@ LEAST_SCORE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; texts that are null or have no letters go."""
     model = language_id.fit(docs.where(~language_id.held_out("doc_id")))
-    predicted = language_id.predict(docs, model, prefix="_")
-    sure = (F.col("_lang_pred") != language_id.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)
-    return predicted.where(sure).drop("_lang_pred", "_score")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source"), "text")
+    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return language_id.predict(packed, model).where(sure).select(
+        *[F.col("source").getField(c).alias(c) for c in docs.columns])
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +33,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id."""
-    copies = materialise(near_duplicates(docs).where("not kept").select("doc_id").distinct())
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_duplicates(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
