@@ -23,7 +23,7 @@ class ChunkEncoder:
     larger vocabulary is refused.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_bytes: int = CACHED_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -35,7 +35,7 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.held, self.plain = 0, True
+        self.held, self.cached_bytes, self.plain = 0, cached_bytes, True
         probes = self._library(list(PROBES))
         self.plain = self.encode(list(PROBES)) == probes
         self.cache.clear()
@@ -76,7 +76,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
-        if self.held > CACHED_BYTES:
+        if self.held > self.cached_bytes:
             cache.clear()
             self.words.clear()
             self.held = 0

@@ -35,7 +35,8 @@ def _id_rows(tokenizer: str, end_id: int, limit: int | None):
     """mapInArrow function: serialized ids (little-endian, 16 bits), or ``limit`` bytes of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        # The sort before this takes the larger part of an executor's memory.
+        encoder = ChunkEncoder(tokenizer, 64 << 20)
         end = end_id.to_bytes(2, "little")
         for batch, texts in text_slices(batches, "text"):
             ids = [x + end for x in encoder.encode(texts.to_pylist())]
