@@ -128,7 +128,7 @@ def _terms_of(text: Column) -> Column:
 
 def _windows(found: DataFrame) -> DataFrame:
     """(entity, window, terms): what stands around each entity, once per document."""
-    # No filter: it would be pushed below the matches and find them a second time.
+    # No filter, and no explode that implies one: it would be pushed below and find all twice.
     some = F.size("entities") > 0
     cut = found.withColumn("blank", F.when(some, _without_addresses(F.col("text")))).withColumn(
         "pieces", F.regexp_extract_all("blank", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).withColumn(
@@ -151,7 +151,8 @@ def _windows(found: DataFrame) -> DataFrame:
         return F.struct(F.concat(s["kind"], F.lit(":"), key).alias("entity"),
                         F.array_sort(F.array_distinct(_terms_of(F.concat(before, F.lit(" "), after)))).alias("terms"))
 
-    return cut.select(F.explode(F.array_distinct(F.transform("entities", around))).alias("w")).select("w.*")
+    return cut.select(F.explode_outer(F.array_distinct(F.transform("entities", around))).alias("w")).select(
+        "w.*").where("entity IS NOT NULL")
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", least_windows: int = LEAST_WINDOWS,
@@ -173,8 +174,8 @@ def disclosing_terms(docs: DataFrame, text: str = "text", least_windows: int = L
         "entity", "term", "window").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
         F.sum("n").alias("together"), F.count("*").alias("windows")).where(F.col("windows") >= least_windows)
     pairs = materialise(pairs.join(entities, "entity"))
-    spread = texts.select(F.explode(F.array_distinct(_terms_of(_without_addresses(F.col("text"))))).alias(
-        "term")).groupBy("term").agg(F.count("*").alias("with_term"))
+    spread = texts.select(F.explode_outer(F.array_distinct(_terms_of(_without_addresses(F.col("text"))))).alias(
+        "term")).where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("with_term"))
     together = F.least("together", "with_term", "with_entity")
     share = F.log2(together * total / (F.col("with_entity") * F.col("with_term"))) / F.log2(
         total / F.col("with_entity"))
@@ -231,7 +232,7 @@ def sanitise(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id
     terms = materialise(terms.select("term", "action"))
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     # One row per text that holds such a term, whatever the number of its copies.
-    held = materialise(texts.select(F.sha2("text", 256).alias("digest"), F.explode(F.array_distinct(
+    held = materialise(texts.select(F.sha2("text", 256).alias("digest"), F.explode_outer(F.array_distinct(
         _terms_of(_without_addresses(F.col("text"))))).alias("term")).join(terms, "term").groupBy("digest").agg(
         F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("actions")))
     found = with_entities(docs, text, keep).withColumn("digest", F.sha2("text", 256)).join(held, "digest", "left")
