@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textcheck.constants import PERTURBATIONS
 from textcheck.functions.skew import join_by_key
-from textcheck.operators import (classify, drift, explain, fairness, features, health, repair, report,
+from textcheck.operators import (batch, classify, drift, explain, fairness, features, health, repair, report,
                                  robustness, scoring, similarity, text_pairs, vector_pairs)
 
 WORDS = scoring.LexiconScorer("a/words", ("good", "fine"), ("1", "0"), 0.5)
@@ -263,14 +263,14 @@ def test_training(spark, trained, tmp_path):
     assert rows(again.predict(df, "t")) == rows(scorer.predict(df, "t"))
     # The long-form features are the model's features, and its optimum is the library's.
     terms, intercept = classify.model_terms(spark, scorer.model)
-    x = features.weigh(features.term_counts(df, "t", "id"), terms).join(terms, "term").groupBy("id").agg(
+    x = features.weigh(features.row_terms(df, "t", "id"), terms).join(terms, "term").groupBy("id").agg(
         F.sum(F.col("weight") * F.col("coefficient")).alias("s"))
     logits = {r["id"]: r["s"] + intercept for r in x.collect()}
     for r in predictions.collect():
         assert r["y_prob"] == pytest.approx(1 / (1 + math.exp(-logits[r["id"]])))
     coefficient = {r["term"]: r["coefficient"] for r in terms.collect()}
     dense = {r["id"]: {} for r in df.collect()}
-    for r in features.weigh(features.term_counts(df, "t", "id"), terms).collect():
+    for r in features.weigh(features.row_terms(df, "t", "id"), terms).collect():
         dense[r["id"]][r["term"]] = r["weight"]
     # Gradient of C * loss + |w|^2 / 2 at the solution.
     error = {r["id"]: r["y_prob"] - r["y_true"] for r in predictions.collect()}
@@ -391,3 +391,42 @@ def test_auc_is_exact_with_ties(spark):
     below = np.searchsorted(ordered, scores[good], "left") + np.searchsorted(ordered, scores[good], "right")
     assert drift.exact_auc(df, "s", "g").first()["auc"] == pytest.approx(below.sum() / 2 / good.sum() / (~good).sum(), abs=1e-12)
     assert drift.exact_auc(df.where("g"), "s", "g").first()["auc"] is None
+
+
+def test_vocabulary_cut_breaks_ties_by_term(spark):
+    texts = ["aa bb cc", "aa bb dd", "aa ee", "", None, "ff ff"]
+    counts = features.term_counts(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "t", "id", False)
+    for n, want in ((1, {"aa"}), (2, {"aa", "bb"}), (3, {"aa", "bb", "ff"}), (4, {"aa", "bb", "ff", "cc"}), (99, {*"aa bb cc dd ee ff".split()})):
+        assert {r["term"] for r in features.fit_vocabulary(counts, F.lit(6), n).collect()} == want
+    assert features.tfidf_features(spark.createDataFrame([], "id long, t string"), "t", "id").count() == 0
+
+
+def test_features_shuffle_no_text(spark):
+    df = spark.createDataFrame([(i, f"some text {i}") for i in range(50)], "id long, t string")
+    plan = features.tfidf_features(df, "t", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_batch_scorer_is_the_lexicon(spark):
+    df = spark.createDataFrame([(1, "Good fine bad bad"), (2, "!"), (3, None), (4, "good good Fine x_1")], "id long, text string")
+    same = batch.lexicon_scorer(spark, WORDS)
+    assert rows(same.predict(df, "text").select("id", "y_prob", "y_pred")) == rows(
+        WORDS.predict(df, "text").select("id", "y_prob", "y_pred"))
+    named = scoring.score_identity(df, "text", [same]).select("id", "words_score")
+    assert rows(named) == rows(scoring.score_identity(df, "text", [WORDS]).select("id", "words_score"))
+    got = explain.lexicon_occlusion(df, "text", "id", WORDS, 3)
+    assert rows(batch.batch_occlusion(df, "text", "id", same, 3).select(*got.columns)) == rows(got)
+
+
+def test_word_odds_and_their_masks(spark):
+    df = spark.createDataFrame([(i, f"vile word{i % 3}" if i % 4 == 0 else f"nice word{i % 3} day", int(i % 4 == 0))
+                                for i in range(40)], "id long, t string, y int")
+    scorer = batch.fit_word_odds(df, "t", "y", "id", 50)
+    scored = {r["id"]: r["y_prob"] for r in scorer.predict(df, "t").collect()}
+    assert all((p > 0.5) == (i % 4 == 0) for i, p in scored.items())
+    # Each mask is the score of the text without the word.
+    for r in batch.batch_occlusion(df.where("id < 6"), "t", "id", scorer, 9).collect():
+        text = df.where(F.col("id") == r["id"]).first()["t"]
+        left = " ".join(w for w in text.split() if w != r["token"])
+        alone = spark.createDataFrame([(0, left)], "id long, t string")
+        assert r["prob_without"] == pytest.approx(scorer.predict(alone, "t").first()["y_prob"])

@@ -100,7 +100,7 @@ def run_audit(df: DataFrame, text_col: str, label_col: str, id_col: str, attr_co
         slices = fairness.group_metrics(fairness.tag_protected(predictions, "text"))
         gaps = fairness.fairness_gaps(slices)
         terms, intercept = classify.model_terms(df.sparkSession, scorer.model)
-        weights = features.weigh(features.term_counts(rows, text_col, id_col), terms)
+        weights = features.weigh(features.row_terms(rows, text_col, id_col), terms)
         importance = explain.linear_importance(weights, terms, rows.agg(F.count("*")).scalar())
         parts += [report.with_version(part, version) for part in (
             version_metrics(predictions, bias, summary),

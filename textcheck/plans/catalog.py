@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from textcheck.constants import PERTURBATIONS
 from textcheck.functions import ranks
-from textcheck.operators import (classify, drift, explain, fairness, features, health, prepare,
+from textcheck.operators import (batch, classify, drift, explain, fairness, features, health, prepare,
                                  repair, report, robustness, scoring, similarity)
 from textcheck.plans import audit
 from textcheck.plans import datasets as ds
@@ -431,12 +431,27 @@ def token_occlusion(spark, d):
                                      ds.QUALITY)
 
 
+@query
+def batch_toxicity(spark, d):
+    """Word odds of the labelled documents, as a model file that workers load once, over all texts."""
+    toxic = ds.table(spark, d, "labels").join(ds.texts(spark, d), "doc_id")
+    scorer = batch.fit_word_odds(toxic, "text", "toxic", "doc_id", ds.ODDS_TERMS, labels=("toxic", "other"))
+    return scoring.score_toxicity(ds.texts(spark, d), "text", scorer).drop("text")
+
+
+@query
+def batch_occlusion(spark, d):
+    return batch.batch_occlusion(ds.texts(spark, d), "text", "doc_id", batch.lexicon_scorer(spark, ds.QUALITY))
+
+
 @query
 def trained_importance(spark, d):
-    scorer, test, _ = _trained(spark, d)
-    terms, _ = classify.model_terms(spark, scorer.model)
-    weights = features.weigh(features.term_counts(test, "text", "doc_id"), terms)
-    return explain.linear_importance(weights, terms, test.agg(F.count("*")).scalar())
+    """Over the training texts, of which the model's weights speak."""
+    train = ds.flagged(spark, d).filter("is_train")
+    model = classify.train_classifier(train, "text", "quality", "doc_id")
+    terms, _ = classify.model_terms(spark, model)
+    weights = features.weigh(features.row_terms(train, "text", "doc_id"), terms)
+    return explain.linear_importance(weights, terms, train.agg(F.count("*")).scalar())
 
 
 @query

@@ -30,9 +30,11 @@ COEFFICIENTS = {
     "de": -0.7, "la": 0.6, "le": 0.5, "der": -0.9, "und": -0.4, "die": 0.7, "que": 0.2,
     "of the": 2.0, "in the": -1.4, "to the": 0.9, "de la": 1.3,
 }
-# No pair of the given embeddings is closer than this by much.
 # Copies of unit vectors in steps of 1/16 stay far closer than this, other vectors farther.
 COARSE_THRESHOLD = 0.95
+# Terms of the word-odds model.
+ODDS_TERMS = 5_000
+# No pair of the given embeddings is closer than this by much.
 EMBEDDING_THRESHOLD = 0.4
 
 

@@ -436,6 +436,20 @@ WITH tok AS (SELECT doc_id AS id, {tokens('text', False)} AS words FROM document
 SELECT id, token, round(base_prob, 6) AS base_prob, round(prob_without, 6) AS prob_without,
   round(change, 6) AS change, rank::INT AS rank FROM k WHERE rank <= 10"""
 
+ORACLES["batch_occlusion"] = ORACLES["token_occlusion"]
+ORACLES["batch_toxicity"] = f"""
+WITH l AS (SELECT doc_id, toxic, {tokens('text')} AS words FROM labels JOIN documents USING (doc_id)),
+  n AS (SELECT count(*) FILTER (toxic = 1) AS n1, count(*) FILTER (toxic <> 1) AS n0 FROM l),
+  w AS (SELECT doc_id, toxic, unnest(words) AS term FROM l),
+  k AS (SELECT term FROM w GROUP BY term ORDER BY count(*) DESC, term LIMIT {ds.ODDS_TERMS}),
+  odds AS (SELECT term, ln((count(DISTINCT doc_id) FILTER (toxic = 1) + 1) / (n1 + 2))
+      - ln((count(DISTINCT doc_id) FILTER (toxic <> 1) + 1) / (n0 + 2)) AS weight
+    FROM w JOIN k USING (term), n GROUP BY term, n1, n0),
+  found AS (SELECT DISTINCT doc_id, unnest({tokens('text')}) AS term FROM documents),
+  pushed AS (SELECT doc_id, sum(weight) AS z FROM found JOIN odds USING (term) GROUP BY 1)
+SELECT doc_id, round(1 / (1 + exp(-(coalesce(z, 0) + ln((n1 + 1) / (n0 + 1))))), 6) AS toxicity
+FROM documents LEFT JOIN pushed USING (doc_id), n"""
+
 # --- drift ---------------------------------------------------------------------------
 
 NUMBERS = """numbers AS (
