@@ -12,9 +12,9 @@ from textcheck.constants import PERTURBATIONS
 from textcheck.functions import ranks
 from textcheck.operators import (batch, classify, drift, explain, fairness, features, health, prepare,
                                  repair, report, robustness, scoring, similarity)
-from textcheck.plans import audit
+from textcheck.plans import artifacts, audit
 from textcheck.plans import datasets as ds
-from textcheck.session import materialise
+from textcheck.session import materialise, new_folder
 from textcheck.sources.tables import dataset_shape, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -554,6 +554,35 @@ def repair_plan(spark, d):
         robustness.robustness_summary(_details(spark, d)), _bias(data), gaps)
 
 
+@query
+def repair_document(spark, d):
+    """The repair artifact, written as JSON and read back: class balance, then suggestions."""
+    balance = health.class_balance(ds.labelled(spark, d), "quality")
+    document = artifacts.repair_document(REGISTRY["repair_plan"](spark, d), balance, "quality")
+    folder = new_folder(spark)
+    artifacts.write_document(document, folder)
+    back = spark.read.schema(document.schema).json(folder)
+    shares = back.select(F.explode("class_balance").alias("name", "share")).select(
+        F.lit("class_balance").alias("part"), "name", "share.fraction", F.col("share.n").alias("n"))
+    return shares.unionByName(back.select(F.inline("suggestions")).select(
+        F.lit("suggestion").alias("part"), F.col("rule").alias("name"),
+        F.lit(None).cast("double").alias("fraction"), F.col("position").alias("n")))
+
+
+@query
+def dataset_document(spark, d):
+    """Pairs and duplicates shown in the dataset artifact, read back from its JSON."""
+    document = artifacts.dataset_document(ds.labelled(spark, d), "text", "quality", "doc_id", "is_en", ds.TOXIC)
+    folder = new_folder(spark)
+    artifacts.write_document(document, folder)
+    back = spark.read.schema(document.schema).json(folder)
+    return back.select(
+        "exact_duplicates.exact_duplicates", "similarity.n_pairs",
+        F.transform("duplicate_rows", lambda r: r["doc_id"]).cast("string").alias("duplicates"),
+        F.transform("similar_pairs", lambda p: F.concat_ws("-", p["idx1"], p["idx2"])).cast("string").alias("pairs"),
+        F.col("class_extremes.most_common").alias("most_common"), "fairness.statistical_parity_difference")
+
+
 @query
 def apply_dedupe(spark, d):
     docs = ds.texts(spark, d)

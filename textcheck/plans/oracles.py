@@ -576,6 +576,21 @@ WITH {PREDICTIONS}, {text_pairs('labelled')}, {details('labelled')}, {slices('is
     UNION ALL {rule(3, 'toxicity', 'tox', 'toxicity_p95 > 0.7', ['toxicity_p95'])}
     UNION ALL {rule(4, 'fairness', 'gaps', 'g > 0.1', ['g'])})
 SELECT row_number() OVER (ORDER BY o) AS position, rule, title, reason, action FROM plan"""
+ORACLES["repair_document"] = f"""
+WITH {LABELLED}, p AS ({ORACLES['repair_plan']})
+SELECT 'class_balance' AS part, quality::VARCHAR AS name, round(count(*) / (SELECT count(*) FROM labelled), 6) AS fraction,
+  count(*) AS n FROM labelled GROUP BY 2
+UNION ALL SELECT 'suggestion', rule, NULL, position FROM p"""
+ORACLES["dataset_document"] = f"""
+WITH {LABELLED}, {text_pairs('labelled')},
+  d AS (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM labelled),
+  f AS (SELECT doc_id FROM d WHERE k > 1 ORDER BY doc_id LIMIT 5),
+  t AS (SELECT idx1, idx2, round(similarity, 6) AS s FROM all_pairs ORDER BY 3 DESC, 1, 2 LIMIT 100)
+SELECT (SELECT count(*) FROM d WHERE k > 1) AS exact_duplicates, (SELECT count(*) FROM all_pairs) AS n_pairs,
+  (SELECT '[' || coalesce(string_agg(doc_id, ', ' ORDER BY doc_id), '') || ']' FROM f) AS duplicates,
+  (SELECT '[' || coalesce(string_agg(idx1 || '-' || idx2, ', ' ORDER BY s DESC, idx1, idx2), '') || ']' FROM t) AS pairs,
+  (SELECT quality FROM labelled GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS most_common,
+  0.0::DOUBLE AS statistical_parity_difference"""
 
 # --- report --------------------------------------------------------------------------
 
