@@ -266,11 +266,12 @@ def without_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "
     Rows are told apart by a number of their own, so rows that share an id, or have none, are
     judged each by its text; of rows with the same text and id one stays. Null ids go first.
     """
+    others = [F.col(f"`{c}`").alias(c) for c in docs.columns if c != text]
     rows = materialise(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source"), F.col(f"`{text}`").alias("text"),
+        F.struct(F.lit(0).alias(text), *others).alias("source"), F.col(f"`{text}`").alias("text"),
         F.col(f"`{doc_id}`").alias("id"), F.monotonically_increasing_id().alias("row")))
     found = materialise(near_duplicates(rows, "text", "row", **how).select(F.col("doc_id").alias("row"), "component_id"))
     first = found.join(rows.select("row", "id"), "row").groupBy("component_id").agg(
         F.min(F.struct("id", "row")).alias("first")).select(F.col("first.row").alias("row"))
     return rows.join(materialise(first), "row", "left_semi").select(
-        *[F.col("source").getField(c).alias(c) for c in docs.columns])
+        *[(F.col("text") if c == text else F.col("source").getField(c)).alias(c) for c in docs.columns])

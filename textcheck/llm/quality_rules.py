@@ -111,13 +111,21 @@ def _entropy(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     return np.bincount(text, weights=-share * np.log2(share), minlength=len(per_text))
 
 
-def _measure_rows(model: str, text: str):
+def _with_text(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches of ``source`` with its text beside it; the bytes are not copied."""
+    for batch in batches:
+        source = batch.column("source")
+        yield pa.RecordBatch.from_arrays([source, source.flatten()[source.type.get_field_index(text)]],
+                                         ["source", "text"])
+
+
+def _measure_rows(model: str, text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, fertility = WordHasher(), _Fertility(model)
         symbol, separator = np.zeros(256, bool), np.zeros(256, bool)
         symbol[list(SYMBOLS)] = True
         separator[[9, 10, 11, 12, 13, 32]] = True
-        for batch, texts in text_slices(batches, text):
+        for batch, texts in text_slices(_with_text(batches, text), "text"):
             hashes, starts, stops, per_text = hasher.words(texts)
             body, offsets = raw_bytes(texts)
             lengths = np.diff(offsets)
@@ -139,27 +147,34 @@ def _measure_rows(model: str, text: str):
                        _repeated_words(hashes, per_text), sums[:, 0], sums[:, 1],
                        sums[:, 2:].sum(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("source"), *(pa.array(c.astype(np.int64)) for c in columns),
+                [_kept(batch.column("source"), keep), *(pa.array(c.astype(np.int64)) for c in columns),
                  pa.array(entropy), pa.array(script.tolist(), pa.string())],
                 ["source", *MEASURES, "token_entropy", "script"])
 
     return run
 
 
-def measure(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``source`` (the row of ``docs`` as a struct) and its measures.
+def _kept(source: pa.StructArray, keep: list[str]) -> pa.StructArray:
+    if keep == [f.name for f in source.type]:
+        return source
+    parts = source.flatten()
+    return pa.StructArray.from_arrays([parts[source.type.get_field_index(c)] for c in keep], names=keep)
+
+
+def measure(docs: DataFrame, model: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``source`` (the row of ``docs`` as a struct, or its columns ``keep``) and its measures.
 
     Words are runs without space and control characters 9 to 13. Each is encoded by the
     sentencepiece file ``model`` on its own; token_entropy is that of a text's ids, script the
     one with most letters (the first of SCRIPTS on ties and without letters).
     """
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source"),
-                         F.col(f"`{text}`").alias("text"))
+    keep = docs.columns if keep is None else keep
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("source"))
     schema = T.StructType([
-        T.StructField("source", packed.schema["source"].dataType),
+        T.StructField("source", T.StructType([packed.schema["source"].dataType[c] for c in keep])),
         *(T.StructField(c, T.LongType()) for c in MEASURES),
         T.StructField("token_entropy", T.DoubleType()), T.StructField("script", T.StringType())])
-    return packed.mapInArrow(_measure_rows(model, "text"), schema)
+    return packed.mapInArrow(_measure_rows(model, text, keep), schema)
 
 
 def verdict(bands: dict = BANDS) -> tuple:
@@ -190,7 +205,7 @@ def quality(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_
     its own; ``docs`` may hold any other columns.
     """
     failed, kept = verdict(bands)
-    return measure(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model).select(
+    return measure(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model, keep=["doc_id"]).select(
         F.col("source.doc_id").alias("doc_id"), *MEASURES, "token_entropy", "script",
         failed.alias("base_failed"), kept.alias("kept"))
 

@@ -252,7 +252,8 @@ def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "d
     an occurrence that comes earlier by doc_id and position.
     """
     kept = [f for f in docs.schema.fields]
-    rows = _rows(docs, text, doc_id, F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("source"))
+    rows = _rows(docs, text, doc_id, F.struct(F.lit(0).alias(text), *[
+        F.col(f"`{f.name}`").alias(f.name) for f in kept if f.name != text]).alias("source"))
     spans = _spans(rows, least_words).where("repeats")
     cuts = materialise(_islands(spans).groupBy("row").agg(F.sort_array(F.collect_list(
         F.struct("first_word", "last_word"))).alias("cuts")))
