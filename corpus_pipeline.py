@@ -20,10 +20,11 @@ LEAST_SCORE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; texts that are null or have no letters go."""
     model = language_id.fit(docs.where(~language_id.held_out("doc_id")))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source"), "text")
+    # Numbered names, so that no column of the documents meets one of the prediction.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return language_id.predict(packed, model).where(sure).select(
-        *[F.col("source").getField(c).alias(c) for c in docs.columns])
+    predicted = language_id.predict(plain, model, text=f"c{docs.columns.index('text')}")
+    return predicted.where(sure).drop("lang_pred", "score").toDF(*docs.columns)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
