@@ -128,6 +128,9 @@ def test_csv_round_trip(spark, tmp_path):
     back = tables.load_dataset(spark, str(tmp_path / "t.csv"))
     assert sorted(map(tuple, back.collect())) == rows
     assert tables.dataset_shape(back).first() == (2, 3)
+    tables.write_table(df.where("id = 2"), str(tmp_path / "no.csv.files"))
+    assert tables.load_dataset(spark, str(tmp_path / "no.csv.files")).count() == 1
+    assert tables.load_dataset(spark, str(tmp_path / "t.csv"), multi_line=False).count() == 3
     tables.write_table(df, str(tmp_path / "t"), partition_by=["label"])
     assert tables.load_dataset(spark, str(tmp_path / "t")).count() == 2
 

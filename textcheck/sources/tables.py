@@ -8,19 +8,21 @@ from pyspark.sql import types as T
 
 
 def load_dataset(spark: SparkSession, path: str, fmt: str | None = None,
-                 schema: T.StructType | str | None = None) -> DataFrame:
-    """Read a CSV (with header), JSON or Parquet table.
+                 schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """Read a CSV (with header), JSON or Parquet table; ``fmt`` follows the end of the path.
 
     Without ``schema`` the types of a CSV file are inferred, which reads the file
     once more; give a schema or use Parquet for large inputs. Quoted cells may
-    hold line breaks, so one CSV file is read by one task: keep files moderate.
+    hold line breaks, so one CSV file is read by one task: keep files moderate, or
+    say ``multi_line=False`` where no cell has any, and files are split.
     """
-    fmt = fmt or ("csv" if ".csv" in path else "json" if ".json" in path else "parquet")
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower().removesuffix(".gz")
+    fmt = fmt or next((kind for kind in ("csv", "json") if name.endswith(f".{kind}")), "parquet")
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return reader.options(header=True, multiLine=True, escape='"',
+        return reader.options(header=True, multiLine=multi_line, escape='"',
                               inferSchema=schema is None).csv(path)
     return reader.format(fmt).load(path)
 
