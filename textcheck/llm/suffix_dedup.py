@@ -195,21 +195,19 @@ def _spans(rows: DataFrame, least: int) -> DataFrame:
     by_start = held.select("context", "back", "words").join(again, ["words", "back"]).groupBy(
         "context", F.col("first.row").alias("first_row"), (F.col("first.start") + F.col("back")).alias("first_position"),
         F.col("first.doc_id").alias("first_doc"), F.col("last.doc_id").alias("last_doc")).agg(
-        F.array_sort(F.collect_set("back")).alias("backs"))
+        F.min("back").alias("least_back"), F.max("back").alias("most_back"))
     # Within a class of its own key, all starts repeat from the class's first occurrence.
     alone = classes.join(met, "key", "left_anti").where("n > 1").select(
         "context", F.col("first.row").alias("first_row"), F.col("first.position").alias("first_position"),
         F.col("first.doc_id").alias("first_doc"), F.col("last.doc_id").alias("last_doc"),
-        F.when(F.col("before") >= F.greatest(F.lit(0), reach - F.col("after")), F.sequence(
-            F.greatest(F.lit(0), reach - F.col("after")), F.col("before"))).alias("backs"))
-    matched = materialise(by_start.unionByName(alone.where("backs IS NOT NULL")))
-    found = suffixes.select("row", "doc_id", "position", "context").join(matched, "context").select(
-        "row", "doc_id", "position", "first_doc", "last_doc",
-        ((F.col("row") != F.col("first_row")) | (F.col("position") != F.col("first_position"))).alias("repeats"),
-        F.explode("backs").alias("back"))
-    start = F.col("position") - F.col("back")
-    return found.groupBy("row", "doc_id", start.alias("first_word"), (start + least).alias("last_word"), "repeats").agg(
-        F.min(F.when(F.col("repeats"), F.col("first_doc")).otherwise(F.col("last_doc"))).alias("other_doc_id"))
+        F.greatest(F.lit(0), reach - F.col("after")).alias("least_back"), F.col("before").alias("most_back"))
+    matched = materialise(by_start.unionByName(alone.where("least_back <= most_back")))
+    # Starts are at most ``reach`` words apart, so the runs from the first and the last touch.
+    repeats = (F.col("row") != F.col("first_row")) | (F.col("position") != F.col("first_position"))
+    return suffixes.select("row", "doc_id", "position", "context").join(matched, "context").select(
+        "row", "doc_id", (F.col("position") - F.col("most_back")).alias("first_word"),
+        (F.col("position") - F.col("least_back") + least).alias("last_word"), repeats.alias("repeats"),
+        F.when(repeats, F.col("first_doc")).otherwise(F.col("last_doc")).alias("other_doc_id"))
 
 
 def _islands(spans: DataFrame) -> DataFrame:
