@@ -16,66 +16,17 @@ from textcheck.llm.words import (
 from textcheck.session import materialise
 
 
-def _doubling(values: np.ndarray, width: int, pick) -> np.ndarray:
-    """Minimum or maximum (``pick``) of each run of ``width`` values, in log2(width) passes."""
-    have, step = values, 1
+def _lowest(keys: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest key, the leftmost of equal ones, of each run of ``width`` keys."""
+    def better(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.where(keys[right] < keys[left], right, left)
+
+    at, step = np.arange(len(keys)), 1
     while step * 2 <= width:
-        have = pick(have[:-step], have[step:])
+        at = better(at[:-step], at[step:])
         step *= 2
     rest = width - step
-    return pick(have[:len(have) - rest], have[rest:]) if rest else have
-
-
-def _selected(keys: np.ndarray, per_text: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest key in any run of ``window`` keys that stays in one text."""
-    if len(keys) < window:
-        return np.zeros(0, np.int64)
-    lowest = _doubling(keys, window, np.minimum)
-    starts, _ = window_positions(per_text, window)
-    valid = np.zeros(len(lowest), bool)
-    valid[starts] = True
-    lowest = np.where(valid, lowest, np.uint64(0))
-    pad = np.zeros(window - 1, np.uint64)
-    highest = _doubling(np.concatenate([pad, lowest, pad]), window, np.maximum)
-    return np.flatnonzero((highest == keys) & (keys > 0))
-
-
-class _Suffixes:
-    """Words of Arrow texts and their retained suffixes: (text, word position, key)."""
-
-    def __init__(self, shared: int, window: int):
-        self.shared, self.window, self.hasher = shared, window, WordHasher()
-
-    def of(self, texts: pa.Array):
-        hashes, starts, stops, per_text = self.hasher.words(texts)
-        firsts = np.cumsum(per_text) - per_text
-        at, counts = window_positions(per_text, self.shared)
-        runs = run_hashes(hashes, self.shared)
-        keys = np.maximum(runs[at], np.uint64(1)) if len(at) else np.zeros(0, np.uint64)
-        chosen = _selected(keys, counts, self.window)
-        position = at[chosen]
-        owner = np.searchsorted(np.cumsum(per_text), position, side="right")
-        return hashes, starts, stops, firsts, per_text, owner, position - firsts[owner], keys[chosen]
-
-
-def _key_rows(shared: int, window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        suffixes = _Suffixes(shared, window)
-        for batch, texts in text_slices(batches, "text"):
-            *_, owner, position, keys = suffixes.of(texts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(pa.array(owner)), pa.array(position.astype(np.int32)),
-                 pa.array(keys.view(np.int64))], ["row", "position", "key"])
-
-    return run
-
-
-def _wanted(batch: pa.RecordBatch, owner: np.ndarray, position: np.ndarray, column: str) -> np.ndarray:
-    """Which of the positions are listed in ``column`` of their rows."""
-    wanted = batch.column(column)
-    pairs = (np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets))) << 32) | np.asarray(
-        wanted.flatten()).astype(np.int64)
-    return np.isin((owner << 32) | position, pairs)
+    return better(at[:len(at) - rest], at[rest:]) if rest else at
 
 
 def _region_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -89,55 +40,76 @@ def _region_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np
     return mix((total[stop] - total[start]) * back[start] + (stop - start).astype(np.uint64))
 
 
-def _context_rows(shared: int, window: int):
-    """mapInArrow function: the retained suffixes at wanted positions with the hash ``context`` of
-    the words from ``before`` ahead of the shared run to ``after`` behind it, window - 1 at most."""
-    reach = window - 1
+SUFFIX_SCHEMA = "row long, position int, key long, context long, least_back int, most_back int"
+
+
+def _suffix_rows(shared: int, least: int):
+    """mapInArrow function: the retained suffixes of each text.
+
+    The key of a suffix is its first ``shared`` words. Each run of ``least`` words belongs to the
+    suffix with the smallest of the keys in it, the leftmost of equal ones: these suffixes are
+    retained, each with the runs it holds, which start ``most_back`` to ``least_back`` words
+    before it, and the hash ``context`` of all words of these runs.
+    """
+    window = least - shared + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        suffixes = _Suffixes(shared, window)
+        hasher = WordHasher()
         for batch, texts in text_slices(batches, "text"):
-            hashes, _, _, firsts, per_text, owner, position, keys = suffixes.of(texts)
-            pick = _wanted(batch, owner, position, "positions")
-            owner, position, keys = owner[pick], position[pick], keys[pick]
-            here = firsts[owner] + position
-            before = np.minimum(position, reach)
-            after = np.minimum(per_text[owner] - position - shared, reach)
-            context = _region_hashes(hashes, here - before, here + shared + after)
-            context = mix(context + mix((before * window + after).astype(np.uint64)))
-            taken = pa.array(owner)
+            hashes, _, _, per_text = hasher.words(texts)
+            at, counts = window_positions(per_text, shared)
+            starts, _ = window_positions(counts, window)
+            if not len(starts):
+                continue
+            keys = run_hashes(hashes, shared)[at]
+            holder = _lowest(keys, window)[starts]
+            turns = np.flatnonzero(np.diff(holder))
+            heads, tails = np.append(0, turns + 1), np.append(turns, len(holder) - 1)
+            chosen = holder[heads]
+            most, fewest = chosen - starts[heads], chosen - starts[tails]
+            here = at[chosen]
+            context = _region_hashes(hashes, here - most, here - fewest + least)
+            context = mix(context + mix((most * window + fewest).astype(np.uint64)))
+            owner = np.searchsorted(np.cumsum(per_text), here, side="right")
+            position = here - (np.cumsum(per_text) - per_text)[owner]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(taken) for c in ("row", "doc_id", "digest")),
-                 pa.array(position.astype(np.int32)), pa.array(keys.view(np.int64)),
-                 pa.array(context.view(np.int64)), pa.array(before.astype(np.int32)),
-                 pa.array(after.astype(np.int32))],
-                ["row", "doc_id", "digest", "position", "key", "context", "before", "after"])
+                [batch.column("row").take(pa.array(owner)), pa.array(position.astype(np.int32)),
+                 pa.array(keys[chosen].view(np.int64)), pa.array(context.view(np.int64)),
+                 pa.array(fewest.astype(np.int32)), pa.array(most.astype(np.int32))],
+                ["row", "position", "key", "context", "least_back", "most_back"])
 
     return run
 
 
-def _start_rows(shared: int, least: int):
-    """mapInArrow function: for the wanted suffixes each start (``back`` words before the position)
-    from which ``least`` words hold the shared run, and the hash of these words."""
-    reach = least - shared
+START_SCHEMA = ("class long, back int, words long, first_place long, first_position int, "
+                "last_place long, last_position int, n long")
+
+
+def _start_rows(least: int):
+    """mapInArrow function: each run of ``least`` words of the suffixes in ``wanted``, by the hash
+    of its words and its start (``back`` words before the suffix)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch, texts in text_slices(batches, "text"):
             hashes, _, _, per_text = hasher.words(texts)
-            firsts = np.cumsum(per_text) - per_text
-            wanted = batch.column("positions")
+            wanted = batch.column("wanted")
+            suffixes = wanted.flatten()
+            field = dict(zip((f.name for f in suffixes.type), suffixes.flatten()))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets)))
-            position = np.asarray(wanted.flatten()).astype(np.int64)
-            back = np.tile(np.arange(reach + 1), len(owner))
-            owner, position = np.repeat(owner, reach + 1), np.repeat(position, reach + 1)
-            inside = (position >= back) & (position - back + least <= per_text[owner])
-            owner, position, back = owner[inside], position[inside], back[inside]
-            words = run_hashes(hashes, least)[firsts[owner] + position - back]
+            fewest = field["least_back"].to_numpy().astype(np.int64)
+            runs = field["most_back"].to_numpy() - fewest + 1
+            suffix = np.repeat(np.arange(len(owner)), runs)
+            back = np.arange(len(suffix)) - np.repeat(np.cumsum(runs) - runs, runs) + fewest[suffix]
+            firsts = np.cumsum(per_text) - per_text
+            start = firsts[owner[suffix]] + field["first_position"].to_numpy()[suffix] - back
+            words = mix(run_hashes(hashes, least)[start] + back.astype(np.uint64))
+            taken = pa.array(suffix)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(pa.array(owner)), pa.array(position.astype(np.int32)),
-                 pa.array(back.astype(np.int32)), pa.array(words.view(np.int64))],
-                ["row", "position", "back", "words"])
+                [field["class"].take(taken), pa.array(back.astype(np.int32)), pa.array(words.view(np.int64)),
+                 *(field[c].take(taken) for c in (
+                     "first_place", "first_position", "last_place", "last_position", "n"))],
+                ["class", "back", "words", "first_place", "first_position", "last_place", "last_position", "n"])
 
     return run
 
@@ -149,77 +121,69 @@ def _rows(docs: DataFrame, text: str, doc_id: str, *more: Column) -> DataFrame:
         F.xxhash64(f"`{text}`").alias("digest"), F.monotonically_increasing_id().alias("row"), *more))
 
 
-def _spans(rows: DataFrame, least: int) -> DataFrame:
-    """(row, doc_id, first_word, last_word, repeats, other_doc_id): runs of ``least`` or more words
-    that occur again, each around one retained suffix.
+def _places(rows: DataFrame) -> DataFrame:
+    """(row, doc_id, place): ``place`` numbers the rows by doc_id, text hash and row; null ids first."""
+    return materialise(rows.select("row", "doc_id", "digest").repartitionByRange("doc_id", "digest", "row")
+                       .sortWithinPartitions("doc_id", "digest", "row")
+                       .select("row", "doc_id", F.monotonically_increasing_id().alias("place")))
+
+
+def _spans(rows: DataFrame, places: DataFrame, least: int) -> DataFrame:
+    """(place, first_word, last_word, repeats, other_place): runs of ``least`` or more words that
+    occur again, each around one retained suffix.
 
-    The key of a suffix is its first ``least // 2`` words; of each window of keys the smallest
-    is retained, with windows so wide that every run of ``least`` words retains one. Suffixes
-    whose keys repeat form classes by the words around the shared run, so that copies are one
-    class. Classes that meet in a key are extended left to every start from which ``least`` words
-    hold the run; sorted by these words, neighbours that agree are matches. A class that has its
-    key alone matches in itself. Occurrences are ordered by doc_id, text hash, row and place.
+    The key of a suffix is its first ``least // 2`` words. A run of ``least`` words belongs to one
+    suffix, chosen by the words of the run alone, so equal runs have equal keys and starts.
+    Suffixes whose keys repeat form classes by all words of their runs, so that copies are one
+    class. Classes that meet in a key are extended left to the start of each of their runs; runs
+    of the same words are matches. A class that has its key alone matches in itself. Occurrences
+    are ordered by doc_id, text hash, row and position.
     """
-    shared = least // 2
-    reach = least - shared
-    window = reach + 1
-    keys = rows.select("row", "text").mapInArrow(_key_rows(shared, window), "row long, position int, key long")
-    repeated = materialise(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    positions = materialise(
-        keys.join(repeated, "key").groupBy("row").agg(F.collect_set("position").alias("positions")))
-    suffixes = materialise(rows.select("row", "doc_id", "digest", "text").join(positions, "row").mapInArrow(
-        _context_rows(shared, window),
-        "row long, doc_id long, digest long, position int, key long, context long, before int, after int"))
-    place = F.struct("doc_id", "digest", "row", "position")
-    classes = materialise(suffixes.groupBy("context", "key", "before", "after").agg(
-        F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")))
+    suffix_rows = rows.select("row", "text").mapInArrow(_suffix_rows(least // 2, least), SUFFIX_SCHEMA)
+    repeated = materialise(suffix_rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    suffixes = materialise(suffix_rows.join(repeated, "key").join(places.select("row", "place"), "row").drop("row"))
+    at = F.struct("place", "position")
+    classes = materialise(suffixes.groupBy("key", "context", "least_back", "most_back").agg(
+        F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n")).select(
+        "key", "context", "least_back", "most_back", "n", F.monotonically_increasing_id().alias("class"),
+        F.col("first.place").alias("first_place"), F.col("first.position").alias("first_position"),
+        F.col("last.place").alias("last_place"), F.col("last.position").alias("last_position")))
     met = materialise(classes.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1").select("key"))
-    # Classes that meet others: their starts, from one occurrence of each.
-    meeting = materialise(classes.join(met, "key", "left_semi"))
-    wanted = materialise(meeting.groupBy(F.col("first.row").alias("row")).agg(
-        F.collect_set("first.position").alias("positions")))
-    starts = rows.select("row", "text").join(wanted, "row").mapInArrow(
-        _start_rows(shared, least), "row long, position int, back int, words long")
-    held = materialise(starts.join(
-        meeting.select("context", "first", "last", "n", F.col("first.row").alias("row"),
-                       F.col("first.position").alias("position")), ["row", "position"]))
-
-    def start_of(end: str) -> Column:
-        return F.struct(F.col(f"{end}.doc_id").alias("doc_id"), F.col(f"{end}.digest").alias("digest"),
-                        F.col(f"{end}.row").alias("row"), (F.col(f"{end}.position") - F.col("back")).alias("start"))
-
-    # A run that holds several retained suffixes is looked at from each, told apart by ``back``.
-    again = materialise(held.groupBy("words", "back").agg(
-        F.min(start_of("first")).alias("first"), F.max(start_of("last")).alias("last"),
-        F.sum("n").alias("n")).where("n > 1").select("words", "back", "first", "last"))
-    by_start = held.select("context", "back", "words").join(again, ["words", "back"]).groupBy(
-        "context", F.col("first.row").alias("first_row"), (F.col("first.start") + F.col("back")).alias("first_position"),
-        F.col("first.doc_id").alias("first_doc"), F.col("last.doc_id").alias("last_doc")).agg(
+    # Classes that meet others: their runs, from one occurrence of each.
+    wanted = classes.join(met, "key", "left_semi").join(
+        places.select("row", F.col("place").alias("first_place")), "first_place").groupBy("row").agg(
+        F.collect_list(F.struct("class", "least_back", "most_back", "first_place", "first_position",
+                                "last_place", "last_position", "n")).alias("wanted"))
+    held = materialise(rows.select("row", "text").join(wanted, "row").mapInArrow(_start_rows(least), START_SCHEMA))
+    again = held.groupBy("words").agg(
+        F.min(F.struct("first_place", (F.col("first_position") - F.col("back")).alias("start"))).alias("first"),
+        F.max("last_place").alias("last_place"), F.sum("n").alias("n")).where("n > 1").select(
+        "words", F.col("first.first_place").alias("first_place"), F.col("first.start").alias("first_start"), "last_place")
+    by_start = held.select("class", "back", "words").join(again, "words").groupBy(
+        "class", "first_place", (F.col("first_start") + F.col("back")).alias("first_position"), "last_place").agg(
         F.min("back").alias("least_back"), F.max("back").alias("most_back"))
-    # Within a class of its own key, all starts repeat from the class's first occurrence.
-    alone = classes.join(met, "key", "left_anti").where("n > 1").select(
-        "context", F.col("first.row").alias("first_row"), F.col("first.position").alias("first_position"),
-        F.col("first.doc_id").alias("first_doc"), F.col("last.doc_id").alias("last_doc"),
-        F.greatest(F.lit(0), reach - F.col("after")).alias("least_back"), F.col("before").alias("most_back"))
-    matched = materialise(by_start.unionByName(alone.where("least_back <= most_back")))
-    # Starts are at most ``reach`` words apart, so the runs from the first and the last touch.
-    repeats = (F.col("row") != F.col("first_row")) | (F.col("position") != F.col("first_position"))
-    return suffixes.select("row", "doc_id", "position", "context").join(matched, "context").select(
-        "row", "doc_id", (F.col("position") - F.col("most_back")).alias("first_word"),
+    matched = materialise(by_start.join(classes.select("class", "key", "context"), "class").drop("class"))
+    # Within a class that has its key alone, all runs repeat those of its first occurrence.
+    alone = classes.where("n > 1").join(met, "key", "left_anti").select(*matched.columns)
+    # The runs of a suffix start at most ``least`` words apart, so the first and the last touch.
+    repeats = (F.col("place") != F.col("first_place")) | (F.col("position") != F.col("first_position"))
+    return suffixes.select("place", "position", "key", "context").join(
+        matched.unionByName(alone), ["key", "context"]).select(
+        "place", (F.col("position") - F.col("most_back")).alias("first_word"),
         (F.col("position") - F.col("least_back") + least).alias("last_word"), repeats.alias("repeats"),
-        F.when(repeats, F.col("first_doc")).otherwise(F.col("last_doc")).alias("other_doc_id"))
+        F.when(repeats, F.col("first_place")).otherwise(F.col("last_place")).alias("other_place"))
 
 
 def _islands(spans: DataFrame) -> DataFrame:
     """Spans of a text that overlap or touch, put together."""
-    order = Window.partitionBy("row", "doc_id").orderBy("first_word", "last_word")
+    order = Window.partitionBy("place").orderBy("first_word", "last_word")
     reached = F.max("last_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce((F.col("first_word") > reached).cast("int"), F.lit(1))
     return (spans.withColumn("opens", opens).withColumn("island", F.sum("opens").over(order))
-            .groupBy("row", "doc_id", "island")
+            .groupBy("place", "island")
             .agg(F.min("first_word").cast("long").alias("first_word"),
                  F.max("last_word").cast("long").alias("last_word"),
-                 F.max("repeats").alias("duplicate"), F.min("other_doc_id").alias("other_doc_id")))
+                 F.max("repeats").alias("duplicate"), F.min("other_place").alias("other_place")))
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
@@ -236,7 +200,11 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     Every run of ``least_words`` that occurs twice is found, however the table is dealt out; runs
     of a text that overlap or touch are joined (see ``_spans``).
     """
-    return _islands(_spans(_rows(docs, text, doc_id), least_words)).select(
+    rows = _rows(docs, text, doc_id)
+    places = _places(rows)
+    found = _islands(_spans(rows, places, least_words))
+    others = places.select(F.col("place").alias("other_place"), F.col("doc_id").alias("other_doc_id"))
+    return found.join(places.select("place", "doc_id"), "place").join(others, "other_place").select(
         "doc_id", "first_word", (F.col("last_word") - F.col("first_word")).alias("n_words"),
         "duplicate", "other_doc_id")
 
@@ -252,8 +220,9 @@ def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "d
     kept = [f for f in docs.schema.fields]
     rows = _rows(docs, text, doc_id, F.struct(F.lit(0).alias(text), *[
         F.col(f"`{f.name}`").alias(f.name) for f in kept if f.name != text]).alias("source"))
-    spans = _spans(rows, least_words).where("repeats")
-    cuts = materialise(_islands(spans).groupBy("row").agg(F.sort_array(F.collect_list(
+    places = _places(rows)
+    spans = _spans(rows, places, least_words).where("repeats")
+    cuts = materialise(_islands(spans).join(places.select("row", "place"), "place").groupBy("row").agg(F.sort_array(F.collect_list(
         F.struct("first_word", "last_word"))).alias("cuts")))
     packed = rows.select("source", "text", "row")
 
