@@ -15,10 +15,17 @@ from textcheck.session import materialise
 
 #: Least posterior of a language that is kept.
 LEAST_SCORE = 0.5
+#: Rows of a batch that travels to a Python worker: whole texts, so few at once.
+BATCH_ROWS = "1024"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; texts that are null or have no letters go."""
+    small_batches(spark)
     model = language_id.fit(docs.where(~language_id.held_out("doc_id")))
     # Numbered names, so that no column of the documents meets one of the prediction.
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
@@ -29,21 +36,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    small_batches(spark)
     return keep_good(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id."""
+    small_batches(spark)
     return without_near_duplicates(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 50 or more words that an earlier document holds."""
+    small_batches(spark)
     return drop_repeated_passages(docs, length="n_chars" if "n_chars" in docs.columns else None)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents, packed into sequences of at most 4096 tokens."""
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

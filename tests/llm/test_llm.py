@@ -18,6 +18,7 @@ import __spark_entry__
 import corpus_pipeline
 from textcheck.llm import queries
 from textcheck.llm.byte_bpe import load_ranks
+from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import drop_repeated_passages, repeated_passages
 from textcheck.llm.token_cache import ChunkEncoder
 from textcheck.llm.token_files import read_token_files, write_token_files
@@ -282,6 +283,13 @@ def test_quality_stage_follows_the_verdicts(spark, folder):
     assert kept == {r.doc_id for r in queries.op9_quality_rules(spark, folder).where("kept").collect()}
 
 
+def test_quality_of_a_table_without_words(spark):
+    docs = _rows(spark, [(1, None), (2, ""), (3, " \n"), (None, "")])
+    assert corpus_pipeline.apply_quality_rules(spark, docs, "").count() == 0
+    judged = quality(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()
+    assert [(r.n_words, r.token_entropy, r.base_failed, r.kept) for r in judged] == [(0, 0.0, True, False)] * 4
+
+
 def test_token_ids_are_the_librarys_in_any_script():
     rng = random.Random(17)
     bits = ["A", "É", "é", "ß", "İ", "\u212a", "ſ", "ς", "Σ", "Paris", "“", "”", "—", "€", "ª", "µ", "÷", "\u0301", "漢", "Москва", "😀",

@@ -42,7 +42,8 @@ class _Fertility:
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
-        self.kept: dict[str, tuple] = {}
+        self.kept: dict[str, tuple[bytes, bytes]] = {}
+        self.rows: dict[bytes, bytes] = {}
 
     @staticmethod
     def _letters(word: str) -> list[int]:
@@ -56,18 +57,26 @@ class _Fertility:
             counts[SCRIPTS.index(name)] += 1
         return counts
 
-    def of(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Per word its ids, and a row: tokens, byte tokens, letters of each script."""
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and a row per word: tokens, byte tokens, letters of each script.
+
+        Kept as bytes; words with equal rows share one object.
+        """
         if len(self.kept) > CACHED:
             self.kept.clear()
+            self.rows.clear()
         new = [w for w in words if w not in self.kept]
-        fresh: dict[str, tuple] = {}
-        for word, ids in zip(new, self.pieces.encode(new, num_threads=1)):
-            ids = np.array(ids, np.int32)
-            entry = (ids, (len(ids), int(self.is_byte[ids].sum()), *self._letters(word)))
-            (self.kept if len(word) <= LONGEST else fresh)[word] = entry
-        found = [self.kept.get(w) or fresh[w] for w in words]
-        return [x[0] for x in found], np.array([x[1] for x in found], np.int64).reshape(len(found), -1)
+        fresh: dict[str, tuple[bytes, bytes]] = {}
+        for word, found in zip(new, self.pieces.encode(new, num_threads=1)):
+            ids = np.array(found, np.int32)
+            row = np.array((len(ids), self.is_byte[ids].sum(), *self._letters(word)), np.int64).tobytes()
+            if len(word) <= LONGEST:
+                self.kept[word] = ids.tobytes(), self.rows.setdefault(row, row)
+            else:
+                fresh[word] = ids.tobytes(), row
+        entries = [self.kept.get(w) or fresh[w] for w in words]
+        return (np.frombuffer(b"".join([x[0] for x in entries]), np.int32),
+                np.frombuffer(b"".join([x[1] for x in entries]), np.int64).reshape(-1, 2 + len(SCRIPTS)))
 
 
 def _per_text(values: np.ndarray, per_text: np.ndarray) -> np.ndarray:
@@ -108,7 +117,7 @@ def _entropy(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     pairs, counts = np.unique((owner << 32) | ids, return_counts=True)
     text = pairs >> 32
     share = counts / per_text[text]
-    return np.bincount(text, weights=-share * np.log2(share), minlength=len(per_text))
+    return np.bincount(text, weights=-share * np.log2(share), minlength=len(per_text)).astype(float)
 
 
 def _with_text(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
@@ -133,11 +142,10 @@ def _measure_rows(model: str, text: str, keep: list[str]):
             symbols = _per_text(symbol[body].astype(np.int64), lengths)
             _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
             flat = body.tobytes()
-            ids, rows = fertility.of([flat[starts[i]:stops[i]].decode() for i in first])
-            per_word = rows[which] if len(first) else np.zeros((0, 2 + len(SCRIPTS)), np.int64)
+            all_ids, rows = fertility.of([flat[starts[i]:stops[i]].decode() for i in first])
+            per_word = rows[which]
             sums = _per_text(per_word, per_text)
-            all_ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            id_starts = np.cumsum(rows[:, 0]) - rows[:, 0] if len(first) else np.zeros(0, np.int64)
+            id_starts = np.cumsum(rows[:, 0]) - rows[:, 0]
             n = per_word[:, 0]
             at = np.repeat(id_starts[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             entropy = _entropy(all_ids[at].astype(np.int64), sums[:, 0])

@@ -42,6 +42,8 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str,
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start), column.slice(start, stop - start)
             start = stop
+    # A worker goes on to other stages; what Arrow has freed goes back first.
+    pa.default_memory_pool().release_unused()
 
 
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
