@@ -284,7 +284,7 @@ def test_quality_stage_follows_the_verdicts(spark, folder):
 
 
 def test_quality_of_a_table_without_words(spark):
-    docs = _rows(spark, [(1, None), (2, ""), (3, " \n"), (None, "")])
+    docs = _rows(spark, [(i, t, "en", "x", 1, 2) for i, t in ((1, None), (2, ""), (3, " \n"), (None, ""))])
     assert corpus_pipeline.apply_quality_rules(spark, docs, "").count() == 0
     judged = quality(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()
     assert [(r.n_words, r.token_entropy, r.base_failed, r.kept) for r in judged] == [(0, 0.0, True, False)] * 4
