@@ -1,7 +1,9 @@
 import math
+import os
 
 import numpy as np
 import pytest
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 from textcheck.constants import PERTURBATIONS
@@ -418,6 +420,15 @@ def test_batch_scorer_is_the_lexicon(spark):
     assert rows(batch.batch_occlusion(df, "text", "id", same, 3).select(*got.columns)) == rows(got)
 
 
+def test_model_is_sent_as_one_file(spark):
+    """A cluster's driver sends no local folders."""
+    sent = set(spark.sparkContext.listFiles)
+    scorers = [batch.lexicon_scorer(spark, WORDS), batch.lexicon_scorer(spark, WORDS)]
+    new = set(spark.sparkContext.listFiles) - sent
+    assert len(new) == len(scorers)
+    assert all(os.path.isfile(SparkFiles.get(os.path.basename(f))) for f in new)
+
+
 def test_word_odds_and_their_masks(spark):
     df = spark.createDataFrame([(i, f"vile word{i % 3}" if i % 4 == 0 else f"nice word{i % 3} day", int(i % 4 == 0))
                                 for i in range(40)], "id long, t string, y int")

@@ -7,7 +7,6 @@ scores of all labels, and for occlusion ``without(text)``.
 
 from __future__ import annotations
 
-import glob
 import json
 import math
 import os
@@ -79,20 +78,19 @@ class WordModel:
 
 @dataclass(frozen=True)
 class BatchScorer:
-    """A model in a folder that ``SparkContext.addFile`` has sent with the job.
+    """A model in a file that ``SparkContext.addFile`` has sent with the job.
 
     The first label's score is the probability that ``predict`` reports."""
 
     name: str
-    folder: str
+    file: str
     labels: tuple[str, ...] = ("1", "0")
     cut: float = 0.5
     load: Callable[[str], object] = WordModel
 
     def model(self):
-        """For workers: the model from the files sent."""
-        (path,) = glob.glob(os.path.join(SparkFiles.get(os.path.basename(self.folder)), "part-*"))
-        with open(path, encoding="utf-8") as content:
+        """For workers: the model from the file sent."""
+        with open(SparkFiles.get(os.path.basename(self.file)), encoding="utf-8") as content:
             return self.load(content.read())
 
     def _all_scores(self, text_col: str):
@@ -120,12 +118,15 @@ class BatchScorer:
 
 
 def send_model(spark: SparkSession, name: str, content: str, **fields) -> BatchScorer:
-    """Write a model file to the shared folder and send it with the jobs of the session."""
-    folder = f"{os.path.dirname(new_folder(spark))}/model"
-    folder = f"{folder}-{os.path.basename(os.path.dirname(folder))}"
+    """Write a model file to the shared folder and send it with the jobs of the session.
+
+    The file alone is sent, as Spark sends no local folders from a cluster's driver; its name is
+    Spark's, which no other file has."""
+    folder = new_folder(spark)
     spark.createDataFrame([(content,)], "value string").coalesce(1).write.text(folder)
-    spark.sparkContext.addFile(folder, recursive=True)
-    return BatchScorer(name, folder, **fields)
+    (file,) = spark.read.text(folder).inputFiles()
+    spark.sparkContext.addFile(file)
+    return BatchScorer(name, file, **fields)
 
 
 def lexicon_scorer(spark: SparkSession, lexicon: LexiconScorer) -> BatchScorer:
