@@ -2,11 +2,13 @@ import math
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 from textcheck.constants import PERTURBATIONS
+from textcheck.functions.runs import as_lists
 from textcheck.functions.skew import join_by_key
 from textcheck.operators import (batch, classify, drift, explain, fairness, features, health, repair, report,
                                  robustness, scoring, similarity, text_pairs, vector_pairs)
@@ -82,6 +84,41 @@ def test_tfidf_pairs_match_brute_force(spark, threshold, block, monkeypatch):
         i: sum(i in k for k in want) for i in range(len(texts))}
 
 
+def _posting_batch(sizes):
+    rng = np.random.default_rng(0)
+    n, cut = sum(sizes), np.array(sizes)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(sizes))), as_lists(rng.integers(0, 1 << 60, n), cut),
+         as_lists(rng.random(n), cut), as_lists(np.where(rng.random(n) < 0.9, 2, 0), cut)],
+        ["rep", "terms", "reach", "lists"])
+
+
+def test_postings_go_out_in_bounded_batches(monkeypatch):
+    batch_in = _posting_batch([300, 0, 1, 2, 500, 40]).slice(1)
+    monkeypatch.setattr(text_pairs, "TAIL_TERMS", 1_000, raising=False)
+    found = list(text_pairs._posting_rows(iter([batch_in])))
+    # A batch has one posting or tails of at most so many terms.
+    assert all(b.num_rows == 1 or len(b.column("tail").flatten()) <= 1_000 for b in found)
+    got = [(r["term"], r["rep"], r["reach"], r["tail"]) for b in found for r in b.to_pylist()]
+    want = []
+    for r in batch_in.to_pylist():
+        kept = [(t, x) for t, x, n in zip(r["terms"], r["reach"], r["lists"]) if n]
+        want += [(t, r["rep"], x, [u for u, _ in kept[i + 1:]]) for i, (t, x) in enumerate(kept)]
+    assert got == want
+
+
+def test_common_terms_are_seated_by_their_postings(spark, monkeypatch):
+    """A word of all texts that only short ones index does not spread these over many blocks."""
+    monkeypatch.setattr(text_pairs, "BLOCK", 8)
+    seats = []
+    monkeypatch.setattr(text_pairs, "by_seat", lambda rows, f=text_pairs.by_seat: seats.append(rows) or f(rows))
+    texts = ["the of"] + [f"the {' '.join(f'w{i % 40}x{k}' for k in range(9))} u{i}" for i in range(80)]
+    found = similarity.similar_texts(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "text", "id", 0.9)
+    postings = seats[0].select("term", "rep").distinct().count()
+    assert seats[0].count() == postings
+    assert similarity.pair_count(found).first()[0] == len(brute_pairs(texts, 0.9))
+
+
 def test_templates_give_linear_output(spark):
     rng = np.random.default_rng(5)
     words = [f"t{i}" for i in range(60)]
@@ -403,6 +440,30 @@ def test_vocabulary_cut_breaks_ties_by_term(spark):
     assert features.tfidf_features(spark.createDataFrame([], "id long, t string"), "t", "id").count() == 0
 
 
+def test_weights_go_out_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(features, "PIECE", 50, raising=False)
+    rows_in = [[{"term": f"t{k}", "tf": 1 + k % 3} for k in range(n)] for n in (0, 30, 30, 70, 1, 0)]
+    batch_in = pa.RecordBatch.from_arrays(
+        [pa.array(range(6)), pa.array(rows_in, pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int64())])))], ["id", "terms"])
+    shared = type("Shared", (), {"value": ([f"t{k}" for k in range(70)], np.ones(70))})
+    schema = pa.schema([("id", pa.int64()), ("term", pa.string()), ("weight", pa.float64())])
+    found = list(features._weighed_rows(shared, schema)(iter([batch_in.slice(1)])))
+    assert all(len(set(b.column("id").to_pylist())) <= 1 or b.num_rows <= 50 for b in found)
+    assert [r["id"] for b in found for r in b.to_pylist()] == [1] * 30 + [2] * 30 + [3] * 70 + [4]
+
+
+def test_lexicon_occlusion_stays_in_the_row(spark):
+    df = spark.createDataFrame([(1, "good Fine good bad"), (2, ""), (3, None), (3, "bad bad"), (4, "bad"), (4, "good"),
+                                (None, "good"), (None, "bad bad")], "id long, t string")
+    left = explain._row_occlusion(df, "t", "id", WORDS, 2)
+    assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+    # Rows of one id, or without one, are one text.
+    got = {(r["id"], r["token"], round(r["base_prob"], 6), r["prob_without"], r["rank"])
+           for r in explain.lexicon_occlusion(df, "t", "id", WORDS, 2).collect()}
+    assert got == {(1, "bad", 0.75, 1.0, 1), (1, "good", 0.75, 0.5, 2), (3, "bad", 0.0, 0.0, 1), (4, "bad", 0.5, 1.0, 1),
+                   (4, "good", 0.5, 0.0, 2), (None, "bad", 0.333333, 1.0, 1), (None, "good", 0.333333, 0.0, 2)}
+
+
 def test_features_shuffle_no_text(spark):
     df = spark.createDataFrame([(i, f"some text {i}") for i in range(50)], "id long, t string")
     plan = features.tfidf_features(df, "t", "id")._jdf.queryExecution().executedPlan().toString()
