@@ -134,6 +134,72 @@ def test_templates_give_linear_output(spark):
     assert preview == [k for _, k in sorted((-round(v, 6), k) for k, v in want.items())][:30]
 
 
+@pytest.mark.parametrize("terms, spread", [(1 << 21, 6), (40, 1)])
+def test_text_pairs_over_many_tiles(spark, terms, spread, monkeypatch):
+    """Long texts, near copies and short ones: the pairs of brute force, from pieces of bounded size."""
+    for name, value in (("BLOCK_TERMS", terms), ("LEAST_TERMS", 8), ("SPREAD", spread)):
+        monkeypatch.setattr(text_pairs, name, value)
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(400)])
+    share = 1 / np.arange(3, 403)
+    texts = [" ".join(rng.choice(words, n, p=share / share.sum())) for n in [3, 6] * 8 + [900, 1500] * 4 + [60] * 6]
+    texts += [" ".join(t.split()[:-1 - i % 3]) for i, t in enumerate(texts[16:])] + [f"{t} w399 new{i}" for i, t in enumerate(texts[16:24])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for threshold in (0.5, 0.9):
+        want = brute_pairs(texts, threshold)
+        found = similarity.similar_texts(df, "text", "id", threshold)
+        table = {(r["idx1"], r["idx2"]): r["similarity"] for r in similarity.pair_table(found).collect()}
+        copies = {k for k, v in want.items() if texts[k[0]] == texts[k[1]]}
+        assert table.keys() | copies == want.keys() and len(want) > 20
+        assert all(table[k] == pytest.approx(want[k]) for k in table)
+        assert found.search.seated.where(F.size("term") > text_pairs.PIECE).count() == 0
+    assert {r["id"]: r["n_links"] for r in similarity.linked_rows(found).collect()} == {
+        i: sum(i in k for k in want) for i in range(len(texts))}
+
+
+def test_a_tile_is_worked_off_in_steps(monkeypatch):
+    """Pieces of the vectors, put together again, give the same pairs and products however few are held at once."""
+    rng = np.random.default_rng(2)
+    sizes = np.array([40, 3, 17, 40, 1, 25] * 3)
+    terms = np.concatenate([rng.choice(60, n, replace=False) for n in sizes])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((terms, owner))
+    x = (1 / np.sqrt(sizes))[owner]
+    reach = np.sqrt(np.concatenate([np.arange(1, n + 1) / n for n in sizes]))
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(sizes))), *[pa.array([0 + i // 9 * (c == "own") for i in range(len(sizes))], pa.int32()) for c in ("lo", "own")],
+         *[as_lists(v, sizes) for v in (terms[order], x, reach, np.where(reach >= 0.5, 2, 0), 1000 - terms[order])]],
+        ["rep", "lo", "own", "terms", "x", "reach", "lists", "seen"])
+    dense = np.zeros((len(sizes), 60))
+    dense[owner, terms] = x
+    for piece, products, pairs in ((128, 1 << 21, 1 << 19), (7, 50, 9)):
+        for name, value in (("PIECE", piece), ("PRODUCTS", products), ("PAIRS", pairs)):
+            monkeypatch.setattr(text_pairs, name, value)
+        for two in (False, True):
+            parts = pa.Table.from_batches(text_pairs._piece_rows(True, "rep", "lo", "own")(iter([whole])))
+            assert max(len(t) for t in parts.column("term").to_pylist()) <= piece
+            tile = text_pairs._Tile(0.5, two, parts.combine_chunks().to_batches()[0])
+            found = {}
+            for one, other in text_pairs._joined(tile.pairs()):
+                found |= dict(zip(zip(one.tolist(), other.tolist()), tile.cosines(one, other).tolist()))
+            near = dense @ dense.T
+            want = {(i, k) for i in range(18) for k in range(i + 1, 18) if near[i, k] >= 0.5 and (not two or i < 9 <= k)}
+            assert want and want <= found.keys() and all(i < k and (not two or i < 9 <= k) for i, k in found)
+            assert all(v == pytest.approx(near[k]) for k, v in found.items())
+
+
+def test_long_texts_are_not_sent_term_by_term(spark):
+    """60 long texts that share rare words, none of them alike; each was sent whole to the lists of these."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, 900)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = similarity.similar_texts(df, "text", "id", 0.9)
+    # With one block a text goes out once, or not at all.
+    assert found.search.seated.agg(F.sum(F.size("term"))).first()[0] <= sum(len(set(t.split())) for t in texts)
+    assert similarity.pair_count(found).first()[0] == 0
+
+
 @pytest.mark.parametrize("cell_rows, block", [(4096, 2000), (25, 7)])
 def test_embedding_pairs_match_brute_force(spark, cell_rows, block, monkeypatch):
     monkeypatch.setattr(vector_pairs, "CELL_ROWS", cell_rows)
