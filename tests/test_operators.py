@@ -233,6 +233,22 @@ def test_hash_tables_find_nearly_all(spark, threshold):
     assert found.links.count() <= len(v)
 
 
+def test_hash_keys_grow_with_the_vectors(spark, monkeypatch):
+    """Vectors of a key stay as few, and the pairs found as many, however many vectors there are."""
+    assert [vector_pairs.key_bits(n) for n in (1, 1 << 14, 1 << 20)] == [12, 12, 18]
+    assert vector_pairs.least_tables(0.95, 12) <= 20 < vector_pairs.least_tables(0.9, 18)
+    monkeypatch.setattr(vector_pairs, "KEY_ROWS", 1 / 64)
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(300, 24))
+    v = np.concatenate([v, v + rng.normal(scale=0.2, size=v.shape)])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    exact = {(r["idx1"], r["idx2"]) for r in similarity.similar_vectors(df, "v", "id", threshold=0.95).near.collect()}
+    found = similarity.hashed_vectors(df, "v", "id", threshold=0.95)
+    listed = [(r["idx1"], r["idx2"]) for r in found.near.collect()]
+    assert found.search.bits == 17 and len(listed) == len(set(listed)) and set(listed) <= exact
+    assert len(exact) > 100 and len(listed) >= 0.99 * len(exact)
+
+
 def test_empty_tables_have_no_pairs(spark):
     none = spark.createDataFrame([], "id long, text string, v array<double>")
     for found in (similarity.similar_texts(none, "text", "id"), similarity.similar_vectors(none, "v", "id"),
