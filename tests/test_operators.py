@@ -157,6 +157,14 @@ def test_text_pairs_over_many_tiles(spark, terms, spread, monkeypatch):
         i: sum(i in k for k in want) for i in range(len(texts))}
 
 
+def test_rows_that_repeat_an_id_are_no_closer_than_equal(spark):
+    texts = [(1, "aa bb cc dd ee ff"), (1, "aa bb cc dd ee ff"), (2, "aa bb cc dd ee ff aa"), (2, "aa bb cc dd ee ff aa"),
+             (3, "xx yy zz"), (4, "zz yy xx"), (5, "xx yy zz ww")]
+    found = similarity.similar_texts(spark.createDataFrame(texts, "id long, text string"), "text", "id", 0.4)
+    near = {(r["idx1"], r["idx2"]): r["similarity"] for r in found.near.collect()}
+    assert near.keys() >= {(1, 2), (3, 5)} and max(near.values()) <= 1.0
+
+
 def test_a_tile_is_worked_off_in_steps(monkeypatch):
     """Pieces of the vectors, put together again, give the same pairs and products however few are held at once."""
     rng = np.random.default_rng(2)
