@@ -196,6 +196,35 @@ def test_a_tile_is_worked_off_in_steps(monkeypatch):
             assert all(v == pytest.approx(near[k]) for k, v in found.items())
 
 
+def test_a_tile_holds_one_block_and_lets_the_other_pass_by():
+    """Links come out before the last batch of a tile is read, so its second block is never held whole."""
+    sizes = np.full(42, 20)
+    terms = np.concatenate([np.arange(20) + 100 * (i % 2) for i in range(42)])
+    reach = np.sqrt(np.tile(np.arange(1, 21) / 20, 42))
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(42)), *[pa.array(np.full(42, n)) for n in (1, 0)],
+         *[pa.array(v, pa.int32()) for v in ([0] * 42, [1] * 42, [0] * 2 + [1] * 40)],
+         *[as_lists(v, sizes) for v in (terms, np.full(840, 1 / np.sqrt(20)), reach, np.where(reach >= 0.9, 2, 0), 1000 - terms)]],
+        ["rep", "copies", "train_rows", "lo", "hi", "own", "terms", "x", "reach", "lists", "seen"])
+    keys = ("rep", "copies", "train_rows", "lo", "hi", "own")
+    rows = pa.Table.from_batches(text_pairs._piece_rows(True, *keys)(iter([whole]))).combine_chunks().to_batches()[0]
+    for step, names in ((text_pairs._match_rows(0.9, similarity._listed), ("idx1", "idx2")),
+                        (text_pairs._candidate_rows(0.9), ("rep", "own"))):
+        read, found = 0, []
+
+        def batches():
+            nonlocal read
+            for a in range(rows.num_rows):
+                read += 1
+                yield rows.slice(a, 1)
+
+        for batch in step(batches()):
+            assert found or read < 10 or not batch.num_rows
+            found += zip(*(batch.column(c).to_pylist() for c in names))
+        want = [(i % 2, i) for i in range(2, 42)] if names[0] == "idx1" else [(i, int(i > 1)) for i in range(42)]
+        assert sorted(found) == sorted(want)
+
+
 def test_long_texts_are_not_sent_term_by_term(spark):
     """60 long texts that share rare words, none of them alike; each was sent whole to the lists of these."""
     rng = np.random.default_rng(4)
