@@ -8,7 +8,9 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -16,12 +18,13 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from textcheck.llm import queries
+from textcheck.llm import queries, token_cache
 from textcheck.llm.byte_bpe import load_ranks
 from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import drop_repeated_passages, repeated_passages
 from textcheck.llm.token_cache import ChunkEncoder
 from textcheck.llm.token_files import read_token_files, write_token_files
+from textcheck.session import BATCH_CONF, materialise, small_batches
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, words string, part long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -396,3 +399,25 @@ def test_pipeline(spark, sf_dir):
 
 def test_pipeline_on_an_empty_table(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_chunks_that_come_again_outlast_a_full_cache():
+    """A full cache kept nothing, so that common words were encoded anew; the encoder was made anew in each task."""
+    encoder = ChunkEncoder(queries.WORD_BPE)
+    text, want = "alpha beta, gamma.", encoder.tokenizer.encode("alpha beta, gamma.", add_special_tokens=False).ids
+    assert list(np.frombuffer(encoder.encode([text])[0], "<u2")) == want
+    encoder.cached_bytes = 0
+    encoder.encode(["others"])
+    encoder.cached_bytes, encoder.model = 1 << 20, None
+    assert list(np.frombuffer(encoder.encode([text])[0], "<u2")) == want
+    assert token_cache.shared_encoder(queries.WORD_BPE) is token_cache.shared_encoder(queries.WORD_BPE)
+
+
+def test_small_batches_end_with_the_write(spark):
+    before = spark.conf.get(BATCH_CONF)
+    sizes = spark.range(0, 2_500, 1, 1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+    assert {r["n"] for r in materialise(sizes, 1_000).collect()} == {1_000, 500}
+    with pytest.raises(ValueError), small_batches(spark, 7):
+        raise ValueError
+    assert spark.conf.get(BATCH_CONF) == before

@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textcheck.llm.token_cache import ChunkEncoder
+from textcheck.llm.token_cache import shared_encoder
 from textcheck.llm.words import text_slices
 from textcheck.session import materialise
 
+#: Whole texts that travel to a worker at once.
+BATCH_ROWS = 1_024
 #: Pieces that one task packs together.
 GROUP = 16_384
 #: Rounds of the local search over the underfull sequences of a group.
@@ -22,7 +24,7 @@ ROUNDS = 50
 
 def _piece_rows(tokenizer: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         end = end_id.to_bytes(2, "little")
         for batch, texts in text_slices(batches, "text"):
             ids = batch.column("doc_id").to_pylist()
@@ -198,7 +200,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", doc_id:
     pieces = materialise(
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
         .mapInArrow(_piece_rows(tokenizer, capacity, end_id),
-                    "doc_id long, piece int, start long, length long, ids_crc32 long"))
+                    "doc_id long, piece int, start long, length long, ids_crc32 long"), BATCH_ROWS)
     groups = max(1, round(pieces.count() / GROUP))
     return pieces.repartition(groups).mapInArrow(
         _group_rows(capacity),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from array import array
+from functools import lru_cache
 
 #: Bytes of chunks kept at once, those of the objects around a chunk, and the longest one kept.
-CACHED_BYTES, ENTRY_BYTES, LONGEST = 160 << 20, 160, 64
+CACHED_BYTES, ENTRY_BYTES, LONGEST = 256 << 20, 160, 64
 #: Texts on which the short way for plain words must agree with the tokenizer, or it is not used.
 PROBES = ("The naïve École, straße.", "ÅNGSTRÖM ñandú. a, b ªº µ", "x.\ny")
 
@@ -20,10 +22,13 @@ class ChunkEncoder:
     the tokenizer's model, as its normalizer and splitter do nothing else to it; every other chunk
     goes through the whole tokenizer, and a text that holds an added token (such as
     ``<|endoftext|>``) does so as a whole. ``encode`` gives little-endian unsigned 16-bit ids; a
-    larger vocabulary is refused.
+    larger vocabulary is refused. When the cache has half of its bytes, it becomes the older half:
+    chunks that come again move on, the others go with it.
     """
 
     def __init__(self, path: str, cached_bytes: int = CACHED_BYTES):
+        # A task has one core; threads of the library would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -35,6 +40,8 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_cache: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.held, self.cached_bytes, self.plain = 0, cached_bytes, True
         probes = self._library(list(PROBES))
         self.plain = self.encode(list(PROBES)) == probes
@@ -46,7 +53,9 @@ class ChunkEncoder:
     def _word(self, letters: str) -> bytes:
         ids = self.words.get(letters)
         if ids is None:
-            ids = _packed([x.id for x in self.model.tokenize(letters.translate(self.spelled))])
+            ids = self.old_words.get(letters)
+            if ids is None:
+                ids = _packed([x.id for x in self.model.tokenize(letters.translate(self.spelled))])
             self.words[letters] = ids
             self.held += len(letters) + ENTRY_BYTES
         return ids
@@ -58,40 +67,52 @@ class ChunkEncoder:
             return None
         return self._word(stem.lower()) + (self._word(mark) if mark else b"")
 
-    def _fill(self, chunks: set[str]) -> dict[str, bytes]:
-        """Put the ids of new short chunks into the cache; those of long ones are returned."""
-        rest, long = [], {}
-        for chunk in chunks:
-            ids = self._chunk(chunk) if self.plain and len(chunk) <= LONGEST else None
-            if ids is None:
-                rest.append(chunk)
-            else:
-                self.cache[chunk] = ids
+    def _fill(self, ids: dict[str, bytes | None]) -> None:
+        """The ids of the chunks that have none yet, which go into the cache if they are short."""
+        cache, old, rest, held = self.cache, self.old_cache, [], 0
+        for chunk in [c for c, found in ids.items() if found is None]:
+            if len(chunk) <= LONGEST:
+                found = old.get(chunk)
+                if found is None and self.plain:
+                    found = self._chunk(chunk)
+                if found is not None:
+                    ids[chunk] = cache[chunk] = found
+                    held += len(chunk) + ENTRY_BYTES
+                    continue
+            rest.append(chunk)
         for start in range(0, len(rest), 10_000):
             some = rest[start:start + 10_000]
-            for chunk, ids in zip(some, self._library(some)):
-                (self.cache if len(chunk) <= LONGEST else long)[chunk] = ids
-        self.held += sum(map(len, chunks)) + ENTRY_BYTES * len(chunks)
-        return long
+            for chunk, found in zip(some, self._library(some)):
+                ids[chunk] = found
+                if len(chunk) <= LONGEST:
+                    cache[chunk] = found
+                    held += len(chunk) + ENTRY_BYTES
+        self.held += held
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if self.held > self.cached_bytes:
-            cache.clear()
-            self.words.clear()
+        if self.held > self.cached_bytes // 2:
+            self.old_cache, self.cache, self.old_words, self.words = self.cache, {}, self.words, {}
             self.held = 0
         whole = [i for i, text in enumerate(texts) if any(t in text for t in self.added)]
         split = [text.replace("\n", " ").split(" ") for text in texts]
         for i in whole:
             split[i] = []
-        long = self._fill(set().union(*split).difference(cache))
-        ids = [b"".join(map(cache.__getitem__, chunks)) if not long or long.keys().isdisjoint(chunks)
-               else b"".join([long[c] if c in long else cache[c] for c in chunks]) for chunks in split]
+        # The chunks of these texts in a small table: the cache is looked up once for each.
+        chunks = set().union(*split)
+        known = dict(zip(chunks, map(self.cache.get, chunks)))
+        self._fill(known)
+        ids = [b"".join(map(known.__getitem__, some)) for some in split]
         for i, found in zip(whole, self._library([texts[i] for i in whole])):
             ids[i] = found
         return ids
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, cached_bytes: int = CACHED_BYTES) -> ChunkEncoder:
+    """The encoder of this worker: its tokenizer and cache outlast a task."""
+    return ChunkEncoder(path, cached_bytes)
+
+
 def _packed(ids: list[int]) -> bytes:
     out = array("H", ids)
     if sys.byteorder == "big":

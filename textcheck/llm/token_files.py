@@ -11,11 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textcheck.llm.token_cache import ChunkEncoder
+from textcheck.llm.token_cache import shared_encoder
 from textcheck.llm.words import text_slices
+from textcheck.session import small_batches
 
 #: A block holds the frames of about so many bytes; a longer frame is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Whole texts that travel to a worker at once.
+BATCH_ROWS = 1_024
 #: Sample that the dictionary is trained on: documents, and bytes of each, from a place that a hash
 #: chooses. It bears on the size of the files alone, never on what is read back.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 1_000, 4_096, 65_536, 3
@@ -36,7 +39,7 @@ def _id_rows(tokenizer: str, end_id: int, limit: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The sort before this takes the larger part of an executor's memory.
-        encoder = ChunkEncoder(tokenizer, 64 << 20)
+        encoder = shared_encoder(tokenizer, 64 << 20)
         end = end_id.to_bytes(2, "little")
         for batch, texts in text_slices(batches, "text"):
             ids = [x + end for x in encoder.encode(texts.to_pylist())]
@@ -148,10 +151,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, text: str = "t
         1).write.parquet(f"{path}/dictionary")
     # Ranges are found on the ids, before the texts are encoded, so that each is encoded once; rows
     # that share an id are dealt by their texts.
-    (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
-     .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-     .mapInArrow(_block_rows(tokenizer, end_id, dictionary, digest), BLOCK_SCHEMA)
-     .write.option("compression", "none").parquet(f"{path}/blocks"))
+    with small_batches(spark, BATCH_ROWS):
+        (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
+         .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+         .mapInArrow(_block_rows(tokenizer, end_id, dictionary, digest), BLOCK_SCHEMA)
+         .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
 def _document_rows(dictionary: bytes, digest: str, wanted: set[int] | None):
@@ -163,7 +167,8 @@ def _document_rows(dictionary: bytes, digest: str, wanted: set[int] | None):
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         reader = zstandard.ZstdDecompressor(dict_data=shared)
         for batch in batches:
-            for row in batch.to_pylist():
+            # A block is large: one at a time.
+            for row in (batch.slice(r, 1).to_pylist()[0] for r in range(batch.num_rows)):
                 if row["dictionary_sha256"] != digest:
                     raise ValueError("block was written with another dictionary")
                 start, out = row["start"], []
