@@ -237,6 +237,25 @@ def test_long_texts_are_not_sent_term_by_term(spark):
     assert similarity.pair_count(found).first()[0] == 0
 
 
+def test_a_cell_of_vectors_is_sent_once_and_compared_in_steps(spark, monkeypatch):
+    """2,500 vectors are one block, which meets itself once; few of its products are held at once."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(2500, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, v array<double>")
+    found = similarity.similar_vectors(df, "v", "id", threshold=0.99)
+    assert found.search.packed.count() == 1 and found.search.near.count() == 1
+    met = found.search.near.join(found.search.packed, [F.col("cell1") == F.col("cell"), F.col("block1") == F.col("block")])
+    monkeypatch.setattr(vector_pairs, "COMPARED", 7 * 2500)
+    names = ("cell", "block", "reps", "copies", "train_rows", "matrix")
+    batch = met.select(*[F.col(c).alias(f"{c}{k}") for k in "12" for c in names]).toArrow().combine_chunks().to_batches()[0]
+    parts = list(vector_pairs._block_matches(0.99, similarity._listed)(iter([batch])))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = set(zip(*np.nonzero(np.triu(unit @ unit.T >= 0.99, 1))))
+    assert len(parts) > 100 and len(want) > 300
+    assert {p for b in parts for p in zip(*(b.column(c).to_pylist() for c in ("idx1", "idx2")))} == want
+    assert {(r["idx1"], r["idx2"]) for r in found.near.collect()} == want
+
+
 @pytest.mark.parametrize("cell_rows, block", [(4096, 2000), (25, 7)])
 def test_embedding_pairs_match_brute_force(spark, cell_rows, block, monkeypatch):
     monkeypatch.setattr(vector_pairs, "CELL_ROWS", cell_rows)
