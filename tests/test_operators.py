@@ -640,3 +640,12 @@ def test_word_odds_and_their_masks(spark):
         left = " ".join(w for w in text.split() if w != r["token"])
         alone = spark.createDataFrame([(0, left)], "id long, t string")
         assert r["prob_without"] == pytest.approx(scorer.predict(alone, "t").first()["y_prob"])
+
+
+def test_lexicon_cuts_a_text_once(spark):
+    """A word list that is read three times is still cut from the text once."""
+    df = spark.createDataFrame([(1, "good bad fine"), (2, ""), (3, None), (4, "a bad")], "id long, t string")
+    scored = df.select("id", WORDS.probability(F.col("t")).alias("p"))
+    assert rows(scored) == [(1, pytest.approx(2 / 3)), (2, 0.0), (3, 0.0), (4, 0.0)]
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

@@ -48,9 +48,11 @@ class LexiconScorer:
     lowercase: bool = True
 
     def probability(self, text: Column) -> Column:
-        words = tx.tokens(text, self.lowercase)
-        hits = F.filter(words, lambda w: w.isin(*self.words))
-        return F.when(F.size(words) > 0, F.size(hits) / F.size(words)).otherwise(0.0)
+        def share(words: Column) -> Column:
+            hits = F.filter(words, lambda w: w.isin(*self.words))
+            return F.when(F.size(words) > 0, F.size(hits) / F.size(words)).otherwise(0.0)
+
+        return tx.once(tx.tokens(text, self.lowercase), share)
 
     def score(self, df: DataFrame, text_col: str, out_col: str = "label_scores") -> DataFrame:
         require_columns(df, text_col)
