@@ -649,3 +649,19 @@ def test_lexicon_cuts_a_text_once(spark):
     assert rows(scored) == [(1, pytest.approx(2 / 3)), (2, 0.0), (3, 0.0), (4, 0.0)]
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_domain_classifier_scores_a_row_once(spark, monkeypatch):
+    """The filter on the score must not run the model again: it reads written scores."""
+    df = spark.createDataFrame([(i, f"old word{i % 3}" if i % 2 else f"new word{i % 3}", i % 2 == 1)
+                                for i in range(40)], "id long, text string, is_current boolean")
+    plans, exact_auc = [], drift.exact_auc
+
+    def seen(scored, *names):
+        found = exact_auc(scored, *names)
+        plans.append(scored.where("score IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(drift, "exact_auc", seen)
+    assert drift.domain_classifier_auc(df, "text", "id").first()["auc"] == 1.0
+    assert "UDF" not in plans[0]
