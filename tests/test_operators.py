@@ -1,5 +1,6 @@
 import math
 import os
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -665,3 +666,23 @@ def test_domain_classifier_scores_a_row_once(spark, monkeypatch):
     monkeypatch.setattr(drift, "exact_auc", seen)
     assert drift.domain_classifier_auc(df, "text", "id").first()["auc"] == 1.0
     assert "UDF" not in plans[0]
+
+
+def test_a_block_of_texts_is_held_in_few_bytes_a_term():
+    """What a worker needs at its peak for the whole texts of a block: not ten numbers for each term."""
+    rng = np.random.default_rng(4)
+    n, size = 400, 1_000
+    terms = np.concatenate([np.sort(rng.choice(50_000, size, replace=False)) for _ in range(n)]).astype(np.int64)
+    flat = lambda v: as_lists(v, np.full(n, size))
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n)), flat(terms), flat(np.full(n * size, 0.1)), flat(np.zeros(n * size)),
+         flat(np.full(n * size, 2, np.int32))], ["rep", "term", "x", "reach", "seen"]).slice(a, 20) for a in range(0, n, 20)]
+    tracemalloc.start()
+    try:
+        held = text_pairs._Texts(batches)
+        met = text_pairs._Meeting(0.5, held, held)
+        assert met.cosines(np.array([0]), np.array([0]))[0] == pytest.approx(10.0)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 * n * size
