@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from textcheck.llm import queries, token_cache
+from textcheck.llm import quality_rules, queries, token_cache
 from textcheck.llm.byte_bpe import load_ranks
 from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import drop_repeated_passages, repeated_passages
@@ -421,3 +421,20 @@ def test_small_batches_end_with_the_write(spark):
     with pytest.raises(ValueError), small_batches(spark, 7):
         raise ValueError
     assert spark.conf.get(BATCH_CONF) == before
+
+
+def test_letters_by_script_of_many_words(monkeypatch):
+    """Tokens and letters of new words as one by one; the script of a character is looked up once."""
+    asked, script = [], quality_rules._script
+    monkeypatch.setattr(quality_rules, "_script", lambda point: asked.append(point) or script(point))
+    fertility = quality_rules._Fertility(public_tokenizers.path("piece_bpe_32k.model"))
+    words = ["word", "a1b2", "\u03b1\u03b2x", "\u0416\u0416", "\u4e2d\U00020000", "##", "\u00aa\u0e01", "x" * 90, "\u0627\U0001f600"]
+    for some in (words, words[:3], ["word", "new", "\u0416"]):
+        ids, rows = fertility.of(some)
+        alone = [fertility.pieces.encode(w) for w in some]
+        assert ids.tolist() == [i for x in alone for i in x]
+        for word, found, row in zip(some, alone, rows.tolist()):
+            named = [next((s for s, a, b in quality_rules.RANGES if a <= ord(c) <= b), "other") for c in word if c.isalpha()]
+            assert row == [len(found), sum(fertility.pieces.is_byte(i) for i in found),
+                           *(named.count(s) for s in quality_rules.SCRIPTS)]
+    assert len(asked) == len(set(asked))

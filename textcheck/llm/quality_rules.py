@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,18 @@ BANDS = {
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 CACHED, LONGEST = 250_000, 64
+NO_LETTER, UNKNOWN = -1, -2
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens",
             "n_byte_tokens", "n_letters")
 
 
+def _script(point: int) -> int:
+    """The number of a code point's script, or NO_LETTER."""
+    if not chr(point).isalpha():
+        return NO_LETTER
+    return SCRIPTS.index(next((s for s, a, b in RANGES if a <= point <= b), "other"))
+
+
 class _Fertility:
     """Ids, byte tokens and letters per script of words; short words are kept."""
 
@@ -42,20 +51,21 @@ class _Fertility:
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
+        #: The script of each code point, NO_LETTER, or UNKNOWN until one is met.
+        self.scripts = np.full(0x110000, UNKNOWN, np.int8)
         self.kept: dict[str, tuple[bytes, bytes]] = {}
         self.rows: dict[bytes, bytes] = {}
 
-    @staticmethod
-    def _letters(word: str) -> list[int]:
-        counts = [0] * len(SCRIPTS)
-        if word.isascii():
-            counts[0] = sum(map(str.isalpha, word))
-            return counts
-        for char in filter(str.isalpha, word):
-            point = ord(char)
-            name = next((s for s, a, b in RANGES if a <= point <= b), "other")
-            counts[SCRIPTS.index(name)] += 1
-        return counts
+    def _letters(self, words: list[str]) -> np.ndarray:
+        """Letters of each script in each word."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        unknown = np.unique(points[self.scripts[points] == UNKNOWN])
+        self.scripts[unknown] = [_script(p) for p in unknown.tolist()]
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        script = self.scripts[points]
+        letter = script >= 0
+        size = len(SCRIPTS)
+        return np.bincount(owner[letter] * size + script[letter], minlength=len(words) * size).reshape(-1, size)
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and a row per word: tokens, byte tokens, letters of each script.
@@ -67,13 +77,22 @@ class _Fertility:
             self.rows.clear()
         new = [w for w in words if w not in self.kept]
         fresh: dict[str, tuple[bytes, bytes]] = {}
-        for word, found in zip(new, self.pieces.encode(new, num_threads=1)):
-            ids = np.array(found, np.int32)
-            row = np.array((len(ids), self.is_byte[ids].sum(), *self._letters(word)), np.int64).tobytes()
+        found = self.pieces.encode(new, num_threads=1)
+        counts = np.fromiter(map(len, found), np.int64, len(new))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+        rows = np.empty((len(new), 2 + len(SCRIPTS)), np.int64)
+        rows[:, 0], rows[:, 1] = counts, _per_text(self.is_byte[ids].astype(np.int64), counts)
+        rows[:, 2:] = self._letters(new)
+        # All as bytes, cut by word.
+        ids, rows, wide = ids.tobytes(), rows.tobytes(), rows.itemsize * rows.shape[1]
+        at = 0
+        for i, (word, n) in enumerate(zip(new, (4 * counts).tolist())):
+            row = rows[i * wide:(i + 1) * wide]
             if len(word) <= LONGEST:
-                self.kept[word] = ids.tobytes(), self.rows.setdefault(row, row)
+                self.kept[word] = ids[at:at + n], self.rows.setdefault(row, row)
             else:
-                fresh[word] = ids.tobytes(), row
+                fresh[word] = ids[at:at + n], row
+            at += n
         entries = [self.kept.get(w) or fresh[w] for w in words]
         return (np.frombuffer(b"".join([x[0] for x in entries]), np.int32),
                 np.frombuffer(b"".join([x[1] for x in entries]), np.int64).reshape(-1, 2 + len(SCRIPTS)))
