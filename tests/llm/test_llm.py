@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from textcheck.llm import quality_rules, queries, token_cache
+from textcheck.llm import marks, near_dup, quality_rules, queries, token_cache
 from textcheck.llm.byte_bpe import load_ranks
 from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import drop_repeated_passages, repeated_passages
@@ -438,3 +438,35 @@ def test_letters_by_script_of_many_words(monkeypatch):
             assert row == [len(found), sum(fertility.pieces.is_byte(i) for i in found),
                            *(named.count(s) for s in quality_rules.SCRIPTS)]
     assert len(asked) == len(set(asked))
+
+
+def test_rows_are_picked_by_bitmaps(spark):
+    """Exactly the numbered rows; of other keys all that are wanted and few others; no text is shuffled."""
+    rows = spark.range(0, 50_000, 1, 3).select(
+        (F.col("id") * 7919 - 9).alias("key"), F.monotonically_increasing_id().alias("row"), F.col("id").cast("string").alias("text"))
+    wanted = rows.where("key % 5 = 0")
+    found = marks.with_numbers(rows, wanted.select("row"), "row")
+    assert sorted(r.key for r in found.collect()) == sorted(r.key for r in wanted.collect())
+    assert found.columns == rows.columns
+    odd = rows.unionByName(spark.createDataFrame([(None, 1, "x"), (None, 2, "y")], "key long, row long, text string"))
+    keys = wanted.select(F.col("key").alias("id")).unionByName(spark.createDataFrame([(None,)], "id long"))
+    sieved = marks.sieved(odd, keys, "key")
+    kept = [r.key for r in sieved.collect()]
+    assert {r.key for r in wanted.collect()} <= set(kept) and kept.count(None) == 2
+    assert len(kept) < 0.4 * 50_000
+    assert marks.sieved(odd, keys.limit(0), "key").count() == 0
+    plan = sieved._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_near_duplicates_do_not_shuffle_their_texts(spark, folder, monkeypatch):
+    """Texts are picked by bitmaps, whichever join Spark would take for the ids."""
+    picked = []
+    monkeypatch.setattr(near_dup, "with_numbers", lambda *a: picked.append("kept") or marks.with_numbers(*a))
+    monkeypatch.setattr(near_dup, "sieved", lambda *a: picked.append("met") or marks.sieved(*a))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    found = near_dup.near_duplicates(docs)
+    assert kept.count() <= found.where("kept").count()
+    assert {r.doc_id for r in kept.collect()} <= {r.component_id for r in found.collect()}
+    assert sorted(set(picked)) == ["kept", "met"]

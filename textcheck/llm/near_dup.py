@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textcheck.llm.components import components
+from textcheck.llm.marks import sieved, with_numbers
 from textcheck.llm.words import WordHasher, gram_hashes, mix, text_slices, window_positions
 from textcheck.session import materialise
 
@@ -198,7 +199,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     meeting = materialise(met.select("node").distinct().join(classes, "node")
                           .select(F.col("first_id").alias("id")).distinct())
     sets = materialise(
-        rows.join(meeting, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+        sieved(rows, meeting, "doc_id").join(meeting, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
         .mapInArrow(_set_rows(words, lower_ascii), "node long, members array<long>"))
 
     pairs = met.where("node <> low").select("low", "node").distinct()
@@ -273,5 +274,5 @@ def without_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "
     found = materialise(near_duplicates(rows, "text", "row", **how).select(F.col("doc_id").alias("row"), "component_id"))
     first = found.join(rows.select("row", "id"), "row").groupBy("component_id").agg(
         F.min(F.struct("id", "row")).alias("first")).select(F.col("first.row").alias("row"))
-    return rows.join(materialise(first), "row", "left_semi").select(
+    return with_numbers(rows, first, "row").select(
         *[(F.col("text") if c == text else F.col("source").getField(c)).alias(c) for c in docs.columns])
