@@ -1,3 +1,4 @@
+import glob
 import math
 import os
 import tracemalloc
@@ -8,6 +9,7 @@ import pytest
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
+from textcheck import session
 from textcheck.constants import PERTURBATIONS
 from textcheck.functions.runs import as_lists
 from textcheck.functions.skew import join_by_key
@@ -686,3 +688,57 @@ def test_a_block_of_texts_is_held_in_few_bytes_a_term():
     finally:
         tracemalloc.stop()
     assert peak < 40 * n * size
+
+
+@pytest.mark.parametrize("common, held, whole", [(1 << 20, 1 << 21, 1 << 23), (10, 1 << 21, 300), (10, 1, 1 << 23)])
+def test_text_pairs_leave_little_behind(spark, common, held, whole, monkeypatch):
+    """Rare terms, many groups and large tiles take other ways to the same pairs; tables with terms go but for the vectors."""
+    for name, value in (("COMMON", common), ("HELD_GROUPS", held), ("WHOLE_TERMS", whole), ("LEAST_TERMS", 8)):
+        monkeypatch.setattr(text_pairs, name, value)
+    written = []
+    for module in (similarity, text_pairs):
+        monkeypatch.setattr(module, "materialise", lambda *a, f=module.materialise: written.append(f(*a)) or written[-1])
+    rng = np.random.default_rng(12)
+    words = np.array([f"w{i}" for i in range(200)])
+    texts = [" ".join(rng.choice(words, 30, p=(1 / np.arange(3, 203)) / (1 / np.arange(3, 203)).sum())) for _ in range(40)]
+    texts += [t + " new" + str(i) for i, t in enumerate(texts[:20])] + texts[5:9]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = similarity.similar_texts(df, "text", "id", 0.7)
+    want = brute_pairs(texts, 0.7)
+    table = {(r["idx1"], r["idx2"]): r["similarity"] for r in similarity.pair_table(found).collect()}
+    assert similarity.pair_count(found).first()[0] == len(want) > 20 and table.keys() <= want.keys()
+    assert all(table[k] == pytest.approx(want[k]) for k in table)
+    left = [t for t in written if "terms" in t.columns and os.path.exists(t.inputFiles()[0].removeprefix("file:"))]
+    assert all("own_copies" in t.columns for t in left) and len(left) == (1 if common > 10 else text_pairs.RARE_PARTS)
+
+
+def test_blocks_of_texts_meet_once_and_are_sent_to_half(spark):
+    for blocks in (1, 2, 5, 8):
+        rows = spark.range(400).withColumnRenamed("id", "rep")
+        parts = [text_pairs.seated(rows, blocks, a, a + 3) for a in range(0, blocks, 3)]
+        seats = [tuple(r) for part in parts for r in part.select("lo", "own").distinct().collect()]
+        assert sorted(tuple(sorted(s)) for s in seats) == [(a, b) for a in range(blocks) for b in range(a, blocks)]
+        assert sum(part.count() for part in parts) <= 400 * (blocks // 2 + 1)
+
+
+def test_sketches_are_bounds():
+    rng = np.random.default_rng(6)
+    terms = rng.integers(-1 << 62, 1 << 62, 500)
+    x = rng.random((30, 500)) ** 8 * (rng.random((30, 500)) < 0.3)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    owner, at = np.nonzero(x)
+    sketch = np.frombuffer(b"".join(text_pairs._sketches(terms[at], x[owner, at], owner, 30).to_pylist()), np.uint8)
+    lengths = text_pairs.LENGTHS[sketch.reshape(30, -1)]
+    assert (lengths @ lengths.T >= x @ x.T - text_pairs.SKETCH_SLACK).all()
+
+
+def test_shuffle_files_go_with_the_table_that_is_written(spark):
+    def files():
+        return {f for folder in glob.glob(f"{root}/blockmgr-*") for f in glob.glob(f"{folder}/*/shuffle_*")}
+
+    root = spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    before = files()
+    rows = session.materialise(spark.range(1_000).repartition(5, "id"))
+    assert rows.count() == 1_000 and not files() - before
+    session.discard(rows)
+    assert not os.path.exists(rows.scratch_folder.removeprefix("file:"))
