@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from textcheck.llm import marks, near_dup, quality_rules, queries, token_cache
+from textcheck.llm import byte_bpe, marks, near_dup, quality_rules, queries, token_cache
 from textcheck.llm.byte_bpe import load_ranks
 from textcheck.llm.quality_rules import quality
 from textcheck.llm.suffix_dedup import drop_repeated_passages, repeated_passages
@@ -99,6 +99,22 @@ def test_byte_bpe_is_tiktoken(spark, folder, texts):
         assert found[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+@pytest.mark.parametrize("most", [1 << 18, 40])
+def test_byte_bpe_folds_a_shared_word_once(spark, folder, texts, most, monkeypatch):
+    """Words that blocks share come folded; a block has left only what it alone has, or what is not among the commonest."""
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 1_500)
+    monkeypatch.setattr(byte_bpe, "COMMON_WORDS", most, raising=False)
+    shared, marked = [], []
+    monkeypatch.setattr(byte_bpe, "_common_words", lambda *a, f=byte_bpe._common_words: shared.append(f(*a)) or shared[0])
+    monkeypatch.setattr(byte_bpe, "_marked_rows", lambda words, f=byte_bpe._marked_rows: marked.append(f(words)) or marked[0])
+    test_byte_bpe_is_tiktoken(spark, folder, texts)
+    words = shared[0][0].to_pylist()
+    assert 0 < len(words) <= most and len(set(words)) == len(words)
+    batch = pa.RecordBatch.from_pylist([{"words": [words[0], "not one", ""]}, {"words": ["", words[-1]]}])
+    left = [r for b in marked[0](iter([batch])) for r in b.to_pylist()]
+    assert left == [{"words": ["", "not one", ""], "known": [0, -1, -1]}, {"words": ["", ""], "known": [-1, len(words) - 1]}]
+
+
 def test_fingerprints(spark, folder, texts):
     found = _by_id(queries.op2_document_fingerprints(spark, folder))
     order = sorted(texts, reverse=True)
