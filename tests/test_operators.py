@@ -742,3 +742,17 @@ def test_shuffle_files_go_with_the_table_that_is_written(spark):
     assert rows.count() == 1_000 and not files() - before
     session.discard(rows)
     assert not os.path.exists(rows.scratch_folder.removeprefix("file:"))
+
+
+def test_vectors_go_only_where_their_signatures_are_near(spark, monkeypatch):
+    """Vectors at random share keys in most tables; they were sent there whole. Keys are dealt out in rounds."""
+    monkeypatch.setattr(vector_pairs, "ROUND_KEYS", 30_000, raising=False)
+    monkeypatch.setattr(vector_pairs, "BLOCK", 50)
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(500, 48))
+    v = np.concatenate([v, v[:40] + rng.normal(scale=0.1, size=(40, 48))])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    found = similarity.hashed_vectors(df, "v", "id", threshold=0.95)
+    assert {(r["idx1"], r["idx2"]) for r in found.near.collect()} == {(i, 500 + i) for i in range(40)}
+    assert found.search.seated.select("rep").distinct().count() < 200
+    assert vector_pairs.most_bits(0.95, 240) < 70 and vector_pairs.most_bits(0.0, 240) > 120
